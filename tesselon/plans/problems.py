@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tesselon.operators.proximity import cover_regions, inside_regions, near_and_nearest, nearest_beyond, points_of
 from tesselon.operators.references import orphan_references
 from tesselon.operators.skew import key_summary, top_k_per_key
-from tesselon.session import table
+from tesselon.session import materialize, table
 
 #: table, reference column, time column, id column, parent table, parent key
 REFERENCES = (
@@ -39,6 +40,39 @@ def p5_key_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_summary(table(spark, sf_dir, "integrated_cells"), ["disease", "phenotype"], "cell_uid", ["n_transcripts", "area_px"])
 
 
+NEAR_PX, THRESHOLD_PX = 12.0, 50.0
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points_of(table(spark, sf_dir, "integrated_cells"), "cell_uid", "sample_id", "spatial", "within_threshold")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near pairs, wrong within_threshold flags with the nearest cell, and cells strictly inside regions.
+
+    A cell alone in its sample has no nearest cell and so no ``flag`` row.
+    """
+    points = _cells(spark, sf_dir)
+    swept = materialize(near_and_nearest(points, NEAR_PX, THRESHOLD_PX))
+    near = swept.where("kind = 0").select(F.lit("near").alias("kind"), "left_id", "right_id")
+    nearest = swept.where("kind = 1")
+    close = nearest.where("right_id is not null and flag = 0")
+    far = nearest.where("right_id is null and flag = 1").select(F.col("left_id").alias("id"))
+    lonely = materialize(points.join(far, "id", "left_semi").distinct())
+    beyond = nearest_beyond(lonely, points, THRESHOLD_PX)
+    flag = close.select("left_id", "right_id").unionByName(beyond.select("left_id", "right_id")).select(F.lit("flag").alias("kind"), "left_id", "right_id")
+    cover = materialize(cover_regions(table(spark, sf_dir, "roi_regions"), "region_id", "sample_id", "coordinates"))
+    inside = inside_regions(points, cover).select(F.lit("inside").alias("kind"), F.col("id").alias("left_id"), F.col("region_id").alias("right_id"))
+    return near.unionByName(flag).unionByName(inside)
+
+
+def p6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cell with the number of other cells at most 12 px away and the distance to the closest of them."""
+    swept = near_and_nearest(_cells(spark, sf_dir), NEAR_PX, NEAR_PX).where("kind = 0")
+    ends = swept.select(F.explode(F.array("left_id", "right_id")).alias("cell_uid"), "dist")
+    return ends.groupBy("cell_uid").agg(F.count("*").alias("n_near"), F.min("dist").alias("closest"))
+
+
 def _p3_sql() -> str:
     norm = "nullif(replace(upper(trim({})), 'O', '0'), '')"
     parts = []
@@ -56,7 +90,7 @@ def _p3_sql() -> str:
 
 
 def queries() -> dict:
-    return {"p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_key_summary": p5_key_summary}
+    return {"p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_key_summary": p5_key_summary, "p6_found": p6_found, "p6_near": p6_near}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -74,4 +108,10 @@ def oracle_sql() -> dict[str, str]:
               count(a) AS n_area_px, sum(a) AS sum_area_px, avg(a) AS avg_area_px, min(a) AS min_area_px, max(a) AS max_area_px
             FROM (SELECT disease, phenotype, cell_uid, max(n_transcripts::DOUBLE) AS t, max(area_px::DOUBLE) AS a FROM integrated_cells
                   WHERE disease IS NOT NULL AND phenotype IS NOT NULL GROUP BY ALL) GROUP BY ALL""",
+        "p6_near": """
+            WITH c AS (SELECT DISTINCT cell_uid, sample_id, spatial[1] AS x, spatial[2] AS y FROM integrated_cells WHERE spatial IS NOT NULL),
+            p AS (SELECT a.cell_uid AS a, b.cell_uid AS b, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) AS d
+                  FROM c a JOIN c b ON a.sample_id = b.sample_id AND a.cell_uid < b.cell_uid AND abs(a.x-b.x) <= 12 AND abs(a.y-b.y) <= 12)
+            SELECT cell_uid, count(*) AS n_near, min(d) AS closest FROM
+              (SELECT a AS cell_uid, d FROM p WHERE d <= 12 UNION ALL SELECT b, d FROM p WHERE d <= 12) GROUP BY ALL""",
     }
