@@ -1,0 +1 @@
+"""Readers and writers of the layouts that measurements come in."""
