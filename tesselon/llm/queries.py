@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tesselon.llm import bpe, components, density, packing, percentiles
+from tesselon.llm import bpe, components, density, packing, percentiles, subjects
 from tesselon.session import materialize, table
 
 #: Bijective code of the comet side: below every stomics index, in the order of the indices.
@@ -96,8 +96,22 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins.groupBy("capacity").agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / F.sum("capacity")).alias("fill"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    lexicon = subjects.fit_lexicon(documents, table(spark, sf_dir, "subject_labels"), "doc_id", "text", "area")
+    return subjects.assign_subjects(documents, "doc_id", "text", lexicon)
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of each area and their share of all that have one; a document on two areas counts half for each."""
+    found = p9_found(spark, sf_dir)
+    each = found.join(found.groupBy("doc_id").count(), "doc_id").groupBy("area").agg(F.count("*").alias("documents"), F.sum(1 / F.col("count")).alias("weight"))
+    whole = Window.partitionBy(F.lit(0))  # over one row for each area
+    return each.select("area", "documents", "weight", (F.col("weight") / F.sum("weight").over(whole)).alias("share"))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_percentiles": p2_percentiles, "p2_merged": p2_merged, "p4_found": p4_found, "p4_clusters": p4_clusters, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_fill": p8_fill}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_percentiles": p2_percentiles, "p2_merged": p2_merged, "p4_found": p4_found, "p4_clusters": p4_clusters, "p7_ids": p7_ids, "p8_pack": p8_pack, "p8_fill": p8_fill, "p9_found": p9_found, "p9_composition": p9_composition}
 
 
 _GROUPS_SQL = """
