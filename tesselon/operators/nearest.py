@@ -69,7 +69,7 @@ def match_classes(left: DataFrame, right: DataFrame, cap: float = 30.0) -> DataF
     """``side, id, class``: 1to1 where two points are each other's nearest within ``cap``; other left points with a
     near right one are merged, other right ones with a near left one fragmented; the rest left_only or right_only."""
     within = lambda a, b: materialize(nearest(a, b, 1, cap).where(F.col("dist") <= cap).select("left_id", "right_id"))
-    to_right, to_left = within(left, right), within(right, left).withColumnsRenamed({"left_id": "right_id", "right_id": "left_id"})
+    to_right, to_left = within(left, right), within(right, left).select(F.col("left_id").alias("right_id"), F.col("right_id").alias("left_id"))
     mutual = materialize(to_right.join(to_left, ["left_id", "right_id"]))
 
     def side(points: DataFrame, own: str, found: DataFrame, name: str, loose: str, alone: str) -> DataFrame:

@@ -19,15 +19,15 @@ STEP = 8.0
 EDGES = """rg AS (SELECT region_id, sample_id AS scope, roi_class, unnest(coordinates) AS r, generate_subscripts(coordinates, 1) AS k FROM roi_regions
       WHERE coordinates IS NOT NULL AND sample_id IS NOT NULL AND len(list_distinct(coordinates[1])) >= 3),
     cl AS (SELECT *, CASE WHEN r[1] = r[-1] THEN r ELSE list_append(r, r[1]) END AS c FROM rg WHERE len(r) > 0),
-    ed AS (SELECT region_id, k, c[i][1] AS ax, c[i][2] AS ay, c[i + 1][1] AS bx, c[i + 1][2] AS by FROM cl, range(1, 500) t(i) WHERE i < len(c))"""
+    ed AS (SELECT region_id, k, c[i][1] AS ax, c[i][2] AS ay, c[i + 1][1] AS qx, c[i + 1][2] AS qy FROM cl, range(1, 500) t(i) WHERE i < len(c))"""
 
 
 def _inside(candidates: str) -> str:
     """CTE ``ins(region_id, id)`` from a query of region_id, id, x, y."""
     return f"""cand AS ({candidates}),
-    tests AS (SELECT region_id, id, k, sum(CASE WHEN (ay > y) <> (by > y) AND CASE WHEN by > ay THEN t > 0 ELSE t < 0 END THEN 1 ELSE 0 END) % 2 AS odd,
-      bool_or(t = 0 AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, by) AND greatest(ay, by)) AS on_it
-      FROM (SELECT *, (bx - ax) * (y - ay) - (by - ay) * (x - ax) AS t FROM cand JOIN ed USING (region_id)) GROUP BY ALL),
+    tests AS (SELECT region_id, id, k, sum(CASE WHEN (ay > y) <> (qy > y) AND CASE WHEN qy > ay THEN t > 0 ELSE t < 0 END THEN 1 ELSE 0 END) % 2 AS odd,
+      bool_or(t = 0 AND x BETWEEN least(ax, qx) AND greatest(ax, qx) AND y BETWEEN least(ay, qy) AND greatest(ay, qy)) AS on_it
+      FROM (SELECT *, (qx - ax) * (y - ay) - (qy - ay) * (x - ax) AS t FROM cand JOIN ed USING (region_id)) GROUP BY ALL),
     ins AS (SELECT region_id, id FROM tests GROUP BY ALL HAVING bool_or(k = 1 AND odd = 1 AND NOT on_it) AND NOT bool_or(k > 1 AND (odd = 1 OR on_it)))"""
 
 
@@ -46,12 +46,11 @@ def region_means(spark, sf_dir):
     return rounded(out.na.fill(0, subset=["n_cells", "mean_area", "mean_transcripts"]), "mean_area", "mean_transcripts")
 
 
-PIXELS = _inside(f"""SELECT region_id, ((bx.px << 32) + (by.py + 1000000000)) AS id, (px + 0.5) * {STEP} AS x, (py + 0.5) * {STEP} AS y FROM
-    (SELECT region_id, unnest(range(floor(list_min(list_transform(r, p -> p[1])) / {STEP})::BIGINT, floor(list_max(list_transform(r, p -> p[1])) / {STEP})::BIGINT + 1)) AS px FROM rg WHERE k = 1) bx
-    JOIN (SELECT region_id, unnest(range(floor(list_min(list_transform(r, p -> p[2])) / {STEP})::BIGINT, floor(list_max(list_transform(r, p -> p[2])) / {STEP})::BIGINT + 1)) AS py FROM rg WHERE k = 1) by USING (region_id)""")
-RASTER = f"""{EDGES}, {PIXELS}, mask AS (SELECT scope, id >> 32 AS px, (id & 4294967295) - 1000000000 AS py, arg_max(roi_class, (coalesce(list_position(['Other ROI', 'TME ROI', 'Tumor ROI', 'Vessels ROI'], roi_class), 0)::BIGINT << 40) + region_id) AS label
+PIXELS = _inside(f"""SELECT region_id, (px * 4294967296 + (py + 1000000000)) AS id, (px + 0.5) * {STEP} AS x, (py + 0.5) * {STEP} AS y FROM
+    (SELECT region_id, unnest(range(floor(list_min(list_transform(r, lambda p: p[1])) / {STEP})::BIGINT, floor(list_max(list_transform(r, lambda p: p[1])) / {STEP})::BIGINT + 1)) AS px FROM rg WHERE k = 1) across
+    JOIN (SELECT region_id, unnest(range(floor(list_min(list_transform(r, lambda p: p[2])) / {STEP})::BIGINT, floor(list_max(list_transform(r, lambda p: p[2])) / {STEP})::BIGINT + 1)) AS py FROM rg WHERE k = 1) down USING (region_id)""")
+RASTER = f"""{EDGES}, {PIXELS}, mask AS (SELECT scope, floor(id / 4294967296.0)::BIGINT AS px, id - floor(id / 4294967296.0)::BIGINT * 4294967296 - 1000000000 AS py, arg_max(roi_class, (coalesce(list_position(['Other ROI', 'TME ROI', 'Tumor ROI', 'Vessels ROI'], roi_class), 0)::BIGINT << 40) + region_id) AS label
     FROM ins JOIN (SELECT DISTINCT region_id, scope, roi_class FROM rg WHERE roi_class IS NOT NULL) USING (region_id) GROUP BY ALL)"""
-RASTER = RASTER.replace("(bx.px << 32) + (by.py + 1000000000)", "bx.px * 4294967296 + (by.py + 1000000000)").replace("id >> 32 AS px, (id & 4294967295) - 1000000000 AS py", "floor(id / 4294967296.0)::BIGINT AS px, id - floor(id / 4294967296.0)::BIGINT * 4294967296 - 1000000000 AS py")
 
 
 def _mask(spark, sf_dir, only: str | None = None):
@@ -66,8 +65,8 @@ def roi_raster(spark, sf_dir):
     return _mask(spark, sf_dir)
 
 
-LOOKUP = f"""{RASTER}, at AS (SELECT cell_uid, sample_id AS scope, greatest(coalesce(n_transcripts, 0), 0) AS t, floor(spatial[1] / {STEP})::BIGINT AS px, floor(spatial[2] / {STEP})::BIGINT AS py
-    FROM (SELECT DISTINCT ON (cell_uid) * FROM integrated_cells WHERE spatial IS NOT NULL)), found AS (SELECT at.*, coalesce(label, 'Outside ROI') AS label FROM at LEFT JOIN mask USING (scope, px, py))"""
+LOOKUP = f"""{RASTER}, places AS (SELECT cell_uid, sample_id AS scope, greatest(coalesce(n_transcripts, 0), 0) AS t, floor(spatial[1] / {STEP})::BIGINT AS px, floor(spatial[2] / {STEP})::BIGINT AS py
+    FROM (SELECT DISTINCT ON (cell_uid) * FROM integrated_cells WHERE spatial IS NOT NULL)), found AS (SELECT places.*, coalesce(label, 'Outside ROI') AS label FROM places LEFT JOIN mask USING (scope, px, py))"""
 
 
 def _lookup(spark, sf_dir):

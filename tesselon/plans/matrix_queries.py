@@ -38,11 +38,12 @@ def feature_qc(spark, sf_dir):
     return rounded(M.feature_qc(expressed(spark, sf_dir)), "mean", "std", "median", "min", "max", "pct_nonzero", "pct_5", "pct_95")
 
 
-@R.query("""SELECT cell_uid AS obs, round(list_sum(x::DOUBLE[]), 6) AS total, len(list_filter(x, v -> v > 0))::INT AS n_positive, round(list_avg(x::DOUBLE[]), 6) AS mean,
+@R.query("""SELECT cell_uid AS obs, round(list_sum(x::DOUBLE[]), 6) + 0 AS total, len(list_filter(x, lambda v: v > 0))::INT AS n_positive, round(list_avg(x::DOUBLE[]), 6) + 0 AS mean,
     round(list_max(x::DOUBLE[]), 6) AS max FROM (SELECT DISTINCT ON (cell_uid) * FROM integrated_cells WHERE x IS NOT NULL)""")
 def row_qc(spark, sf_dir):
     cells = table(spark, sf_dir, "integrated_cells").where("x is not null").select("cell_uid", "x").dropDuplicates(["cell_uid"])
-    return rounded(M.row_qc(cells, "cell_uid", "x"), "total", "mean", "max")
+    out = rounded(M.row_qc(cells, "cell_uid", "x"), "total", "mean", "max")
+    return out.withColumns({c: F.col(c) + 0.0 for c in ("total", "mean")})  # no negative zero
 
 
 @R.query(f"""WITH {E}, s AS (SELECT feature, quantile_cont(value, 0.5) AS m, quantile_cont(value, 0.95) - quantile_cont(value, 0.05) AS r FROM e GROUP BY ALL)

@@ -104,15 +104,15 @@ def _transforms(spark, sf_dir):
 
 
 def _entries(m):
-    return [F.round(G.coefficient(m, r, c), 6).alias(n) for r, c, n in ((0, 0, "a"), (0, 1, "b"), (0, 2, "tx"), (1, 0, "c"), (1, 1, "d"), (1, 2, "ty"))]
+    return [(F.round(G.coefficient(m, r, c), 6) + F.lit(0.0)).alias(n) for r, c, n in ((0, 0, "a"), (0, 1, "b"), (0, 2, "tx"), (1, 0, "c"), (1, 1, "d"), (1, 2, "ty"))]
 
 
-@R.query(f"WITH {TR} SELECT transform_id, round(d / det, 6) AS a, round(-b / det, 6) AS b, round((b * ty - d * tx) / det, 6) AS tx, round(-c / det, 6) AS c, round(a / det, 6) AS d, round((c * tx - a * ty) / det, 6) AS ty FROM (SELECT *, a * d - b * c AS det FROM t) WHERE abs(det) >= 1e-12")
+@R.query(f"WITH {TR} SELECT transform_id, round(d / det, 6) + 0 AS a, round(-b / det, 6) + 0 AS b, round((b * ty - d * tx) / det, 6) + 0 AS tx, round(-c / det, 6) + 0 AS c, round(a / det, 6) + 0 AS d, round((c * tx - a * ty) / det, 6) + 0 AS ty FROM (SELECT *, a * d - b * c AS det FROM t) WHERE abs(det) >= 1e-12")
 def affine_inverse(spark, sf_dir):
     return _transforms(spark, sf_dir).withColumn("inv", G.invert_affine(F.col("matrix"))).where("inv is not null").select("transform_id", *_entries(F.col("inv")))
 
 
-@R.query(f"WITH {TR} SELECT transform_id, round(a * a + b * c, 6) AS a, round(a * b + b * d, 6) AS b, round(a * tx + b * ty + tx, 6) AS tx, round(c * a + d * c, 6) AS c, round(c * b + d * d, 6) AS d, round(c * tx + d * ty + ty, 6) AS ty FROM t")
+@R.query(f"WITH {TR} SELECT transform_id, round(a * a + b * c, 6) + 0 AS a, round(a * b + b * d, 6) + 0 AS b, round(a * tx + b * ty + tx, 6) + 0 AS tx, round(c * a + d * c, 6) + 0 AS c, round(c * b + d * d, 6) + 0 AS d, round(c * tx + d * ty + ty, 6) + 0 AS ty FROM t")
 def affine_compose(spark, sf_dir):
     return _transforms(spark, sf_dir).select("transform_id", *_entries(G.compose_affine(F.col("matrix"), F.col("matrix"))))
 
@@ -130,8 +130,8 @@ RINGS = """g AS (SELECT region_id, coordinates[1] AS r FROM roi_regions WHERE le
     o AS (SELECT region_id, CASE WHEN r[1] = r[-1] THEN r[:-2] ELSE r END AS r FROM g), k AS (SELECT region_id, r, list_append(r, r[1]) AS c FROM o)"""
 
 
-@R.query(f"""WITH {RINGS} SELECT region_id, len(r) AS n_vertices, round(list_avg(list_transform(r, p -> p[1])), 6) AS cx, round(list_avg(list_transform(r, p -> p[2])), 6) AS cy,
-    round(list_sum(list_transform(range(1, len(c)), i -> c[i][1] * c[i + 1][2] - c[i + 1][1] * c[i][2])) / 2, 6) AS area, list_min(list_transform(r, p -> p[1])) AS x0, list_max(list_transform(r, p -> p[2])) AS y1 FROM k""")
+@R.query(f"""WITH {RINGS} SELECT region_id, len(r) AS n_vertices, round(list_avg(list_transform(r, lambda p: p[1])), 6) AS cx, round(list_avg(list_transform(r, lambda p: p[2])), 6) AS cy,
+    round(list_sum(list_transform(range(1, len(c)), lambda i: c[i][1] * c[i + 1][2] - c[i + 1][1] * c[i][2])) / 2, 6) AS area, list_min(list_transform(r, lambda p: p[1])) AS x0, list_max(list_transform(r, lambda p: p[2])) AS y1 FROM k""")
 def ring_measures(spark, sf_dir):
     ring = F.get(F.col("coordinates"), F.lit(0))
     rows = table(spark, sf_dir, "roi_regions").where(F.size(ring) > 2).select("region_id", G.open_ring(ring).alias("o"), G.close_ring(ring).alias("c"))

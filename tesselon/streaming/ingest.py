@@ -17,7 +17,9 @@ def ingest_available(spark: SparkSession, source: str, columns: Sequence[str], t
     broken one resumes. Without a target a new one is made in the shared folder."""
     target = target or f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
     schema = spark.read.parquet(source).schema
-    rows = spark.readStream.schema(schema).parquet(source).select(*columns)
+    # as a pattern, the source may be a folder or a single file
+    pattern = source if set(source) & set("*?[{") else f"{source[:-1]}[{source[-1]}]"
+    rows = spark.readStream.schema(schema).parquet(pattern).select(*columns)
     query = rows.writeStream.format("parquet").option("checkpointLocation", f"{target}/_progress").option("path", f"{target}/rows").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{target}/rows")
