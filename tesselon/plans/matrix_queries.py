@@ -138,7 +138,7 @@ _PIVOT = "SELECT (props->>'$.k')::BIGINT AS x, user_id AS y, event_type AS chann
 
 def _kinds(spark, sf_dir):
     """The event types that occur, a handful, in order."""
-    return [r[0] for r in _pixels(spark, sf_dir).select("channel").where("channel is not null").distinct().orderBy("channel").limit(100).collect()]
+    return [r[0] for r in _pixels(spark, sf_dir).select("channel").where("channel is not null").distinct().orderBy("channel").collect()]
 
 
 @R.query(f"SELECT x, y, channel, round(sum(value), 6) AS value FROM (SELECT x, y, channel, value FROM ({_PIVOT})) GROUP BY ALL HAVING sum(value) > 0")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,13 +58,22 @@ def materialize(df: DataFrame, *partition_by: str) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if its counted size is under the bounds, else unchanged.
+    """``df`` with a broadcast hint if its counted size is under the bounds, else without one.
 
-    Pass ``rows`` when the count is known. Without a hint the join shuffles, and adaptive execution splits
-    partitions that are skewed on the other side.
+    What isn't a plain scan is written first, so that it is computed once and not again for the join; pass ``rows``
+    when the count is known. Without a hint the join shuffles, and adaptive execution splits partitions that are
+    skewed on the other side.
     """
-    n = df.limit(BROADCAST_ROWS + 1).count() if rows is None else rows
-    return F.broadcast(df) if n <= BROADCAST_ROWS and n * len(df.columns) <= BROADCAST_VALUES else df
+    if rows is None:
+        df = df if _is_scan(df) else materialize(df)
+        rows = df.limit(BROADCAST_ROWS + 1).count()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and rows * len(df.columns) <= BROADCAST_VALUES else df
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only reads columns of a table."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    return all(re.match(r"\W*(Project|Relation|LogicalRelation|LocalRelation)\b", line) for line in plan.splitlines() if line.strip())
 
 
 def clean(column: Column | str) -> Column:
