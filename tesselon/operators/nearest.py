@@ -22,7 +22,7 @@ def range_join(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
     return nine.join(one, ["scope", "cx", "cy"]).withColumn("d2", d2).where(F.col("d2") <= radius * radius).select("left_id", "right_id", F.sqrt("d2").alias("dist"))
 
 
-def nearest(left: DataFrame, right: DataFrame, k: int = 1, radius: float = 50.0, growth: float = 4.0, same: bool = False) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, k: int = 1, radius: float = 50.0, growth: float = 2.0, same: bool = False) -> DataFrame:
     """``left_id, rank, right_id, dist``: the ``k`` nearest of ``right`` for each left point, ties to the smaller id.
 
     With ``same`` both are one set and a point isn't its own neighbour. A point is done when at least ``k`` lie within
