@@ -50,7 +50,7 @@ def nearest(left: DataFrame, right: DataFrame, k: int = 1, radius: float = 50.0,
             break
         todo = materialize(todo.join(ranked.where(F.col("rank") == k).select(F.col("left_id").alias("id")), "id", "left_anti"))
         n = todo.count()
-        radius *= growth
+        radius, growth = radius * growth, 4.0
     if not out:
         return left.sparkSession.createDataFrame([], "left_id long, rank int, right_id long, dist double")
     found = out[0]
