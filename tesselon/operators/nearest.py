@@ -6,70 +6,102 @@ radius: one side has one copy of a point, the other nine. Points with null field
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselon.session import materialize, small
 
 
-def range_join(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
-    """``left_id, right_id, dist`` of all pairs at most ``radius`` apart (ids may be equal)."""
-    cell = lambda c: F.floor(F.col(c) / radius)
-    around = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
+def range_join(left: DataFrame, right: DataFrame, radius: float | Column) -> DataFrame:
+    """``left_id, right_id, dist`` of all pairs at most ``radius`` apart (ids may be equal).
+
+    The radius is a number or a column that both sides have and that depends on nothing but the scope.
+    """
+    r = F.lit(float(radius)) if isinstance(radius, (int, float)) else radius
+    cell = lambda c: F.floor(F.col(c) / r)
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1))
     one = right.select(F.col("id").alias("right_id"), "scope", F.col("x").alias("rx"), F.col("y").alias("ry"), cell("x").alias("cx"), cell("y").alias("cy")).na.drop()
-    nine = left.select(F.col("id").alias("left_id"), "scope", "x", "y").na.drop().withColumn("cx", around("x")).withColumn("cy", around("y"))
+    nine = left.select(F.col("id").alias("left_id"), "scope", "x", "y", cell("x").alias("cx"), cell("y").alias("cy"), (r * r).alias("r2")).na.drop().withColumn("cx", around("cx")).withColumn("cy", around("cy"))
     d2 = (F.col("x") - F.col("rx")) * (F.col("x") - F.col("rx")) + (F.col("y") - F.col("ry")) * (F.col("y") - F.col("ry"))
-    return nine.join(one, ["scope", "cx", "cy"]).withColumn("d2", d2).where(F.col("d2") <= radius * radius).select("left_id", "right_id", F.sqrt("d2").alias("dist"))
+    return nine.join(one, ["scope", "cx", "cy"]).withColumn("d2", d2).where(F.col("d2") <= F.col("r2")).select("left_id", "right_id", F.sqrt("d2").alias("dist"))
+
 
+def first_radii(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """``scope, edge, radius``: the extent of each scope that has right points, and a radius within which a typical
+    right point has a few more than ``k`` others.
 
-def nearest(left: DataFrame, right: DataFrame, k: int = 1, radius: float = 50.0, growth: float = 2.0, same: bool = False) -> DataFrame:
+    The radius follows from the mean density, less where points crowd: a grid of that radius is counted, and if the
+    cell of an average point holds more than intended, the radius shrinks to match. So the pairs that a join of this
+    radius tests stay within a small multiple of the points, however uneven the density is.
+    """
+    wanted = k + 2.0 * math.sqrt(k) + 1.0
+    both = right.select("scope", "x", "y", F.lit(1).alias("own"))
+    if left is not right:
+        both = both.unionByName(left.select("scope", "x", "y", F.lit(0).alias("own")))
+    span = lambda c: F.max(c) - F.min(c)
+    of_right = lambda c: span(F.when(F.col("own") == 1, F.col(c)))
+    extent = both.groupBy("scope").agg(F.greatest(span("x"), span("y")).alias("edge"), of_right("x").alias("w"), of_right("y").alias("h"), F.sum("own").alias("n")).where("n > 0")
+    even = F.greatest(F.sqrt(F.col("w") * F.col("h") * wanted / (math.pi * F.col("n"))), F.greatest("w", "h") * wanted / (2 * F.col("n")))
+    mean = extent.select("scope", "edge", F.greatest(even, F.col("edge") * 1e-6, F.lit(1e-9)).alias("even"))
+    cells = right.join(mean, "scope").groupBy("scope", "edge", "even", F.floor(F.col("x") / F.col("even")).alias("cx"), F.floor(F.col("y") / F.col("even")).alias("cy")).agg(F.count("*").alias("c"))
+    crowd = cells.groupBy("scope", "edge", "even").agg((F.sum(F.col("c").cast("double") * F.col("c")) / F.sum("c")).alias("crowd"))
+    usual = wanted / math.pi + 1.0
+    shrunk = F.col("even") * F.least(F.lit(1.0), F.sqrt(2 * usual / F.col("crowd")))
+    return crowd.select("scope", "edge", F.greatest(shrunk, F.col("edge") * 1e-6, F.lit(1e-9)).alias("radius"))
+
+
+def nearest(left: DataFrame, right: DataFrame, k: int = 1, radius: float | None = None, growth: float = 3.0, same: bool = False) -> DataFrame:
     """``left_id, rank, right_id, dist``: the ``k`` nearest of ``right`` for each left point, ties to the smaller id.
 
     With ``same`` both are one set and a point isn't its own neighbour. A point is done when at least ``k`` lie within
-    the radius, since then no other can be nearer; for the rest the radius grows until it spans the scope, where a
-    point keeps what there is. Exact, whatever the first radius; that should hold a few points on average.
+    the radius, since then no other can be nearer; for the rest the radius grows until it spans their scope, where a
+    point keeps what there is. Exact, whatever the first radius, which each scope has of its own (``first_radii``)
+    unless one is given.
     """
-    left, right = left.select("id", "scope", "x", "y").na.drop(), right.select("id", "scope", "x", "y").na.drop()
-    spans = left.unionByName(right).groupBy("scope").agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("w"))
-    edge = spans.agg(F.max("w")).first()[0]
+    empty = left.sparkSession.createDataFrame([], "left_id long, rank int, right_id long, dist double")
+    right = materialize(right.select("id", "scope", "x", "y").na.drop())
+    left = right if same else materialize(left.select("id", "scope", "x", "y").na.drop())
+    radii = first_radii(left, right, k)
+    radii = small(radii if radius is None else radii.withColumn("radius", F.lit(float(radius))))
+    there, todo = right.join(radii, "scope"), left.join(radii, "scope")
     out: list[DataFrame] = []
-    todo, n = left, 1
-    while edge is not None and n:
-        last = radius > 1.5 * edge
-        pairs = range_join(todo, right, radius)
+    times = 1.0
+    while True:
+        r = F.col("radius") * times
+        pairs = range_join(todo, there, r)
         if same:
             pairs = pairs.where("left_id <> right_id")
         order = Window.partitionBy("left_id").orderBy("dist", "right_id")
-        ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        if last and not out:
-            return ranked.select("left_id", "rank", "right_id", "dist")
-        ranked = materialize(ranked)
-        full = ranked if last else ranked.join(ranked.where(F.col("rank") == k).select("left_id"), "left_id", "left_semi")
-        out.append(full.select("left_id", "rank", "right_id", "dist"))
-        if last:
+        ranked = materialize(pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("left_id", "rank", "right_id", "dist"))
+        full = ranked.where(F.col("rank") == k).select(F.col("left_id").alias("id"))
+        todo = materialize(todo.where(r <= 1.5 * F.col("edge")).join(full, "id", "left_anti"))
+        done = todo.isEmpty()
+        out.append(ranked if done else ranked.join(todo.select(F.col("id").alias("left_id")), "left_id", "left_anti"))
+        if done:
             break
-        todo = materialize(todo.join(ranked.where(F.col("rank") == k).select(F.col("left_id").alias("id")), "id", "left_anti"))
-        n = todo.count()
-        radius, growth = radius * growth, 4.0
-    if not out:
-        return left.sparkSession.createDataFrame([], "left_id long, rank int, right_id long, dist double")
-    found = out[0]
-    for part in out[1:]:
-        found = found.unionByName(part)
-    return found
+        times, growth = times * growth, 4.0
+    return reduce(DataFrame.unionByName, out, empty)
 
 
 def map_to_nearest(left: DataFrame, right: DataFrame, cap: float = 50.0) -> DataFrame:
     """Every left point with its nearest right one, the distance and whether that is at most ``cap``."""
-    found = nearest(left, right, 1, cap)
+    found = nearest(left, right)
     return left.select(F.col("id").alias("left_id")).join(found.drop("rank"), "left_id", "left").withColumn("mapped", F.coalesce(F.col("dist") <= cap, F.lit(False)))
 
 
 def match_classes(left: DataFrame, right: DataFrame, cap: float = 30.0) -> DataFrame:
     """``side, id, class``: 1to1 where two points are each other's nearest within ``cap``; other left points with a
     near right one are merged, other right ones with a near left one fragmented; the rest left_only or right_only."""
-    within = lambda a, b: materialize(nearest(a, b, 1, cap).where(F.col("dist") <= cap).select("left_id", "right_id"))
-    to_right, to_left = within(left, right), within(right, left).select(F.col("left_id").alias("right_id"), F.col("right_id").alias("left_id"))
+    pairs = materialize(range_join(left, right, cap))
+
+    def closest(own: str, other: str) -> DataFrame:
+        order = Window.partitionBy(own).orderBy("dist", other)
+        return materialize(pairs.withColumn("rank", F.row_number().over(order)).where("rank = 1").select("left_id", "right_id"))
+
+    to_right, to_left = closest("left_id", "right_id"), closest("right_id", "left_id")
     mutual = materialize(to_right.join(to_left, ["left_id", "right_id"]))
 
     def side(points: DataFrame, own: str, found: DataFrame, name: str, loose: str, alone: str) -> DataFrame:
@@ -84,19 +116,19 @@ def quality_class(median: Column) -> Column:
     return F.when(median < 30, "EXCELLENT").when(median < 50, "GOOD").when(median < 100, "ACCEPTABLE").otherwise("POOR")
 
 
-def alignment_metrics(left: DataFrame, right: DataFrame, cap: float = 50.0) -> DataFrame:
+def alignment_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
     """By scope: statistics of the distance from each left point to its nearest right one, shares strictly within 30,
     50 and 100, and the quality class."""
-    found = nearest(left, right, 1, cap).join(left.select(F.col("id").alias("left_id"), "scope"), "left_id")
+    found = nearest(left, right).join(left.select(F.col("id").alias("left_id"), "scope"), "left_id")
     d = F.col("dist")
     share = lambda t: (100 * F.count_if(d < t) / F.count("*")).alias(f"pct_within_{t}px")
     m = found.groupBy("scope").agg(F.count("*").alias("n"), F.percentile(d, F.lit(0.5)).alias("median_distance"), F.avg(d).alias("mean_distance"), F.stddev_pop(d).alias("std_distance"), F.min(d).alias("min_distance"), F.max(d).alias("max_distance"), share(30), share(50), share(100))
     return m.withColumn("quality", quality_class(F.col("median_distance")))
 
 
-def knn_weights(points: DataFrame, k: int = 6, radius: float = 50.0) -> DataFrame:
+def knn_weights(points: DataFrame, k: int = 6) -> DataFrame:
     """``src, dst, w``: the k nearest others of each point, weights of a point summing to 1."""
-    edges = nearest(points, points, k, radius, same=True)
+    edges = nearest(points, points, k, same=True)
     return edges.select(F.col("left_id").alias("src"), F.col("right_id").alias("dst"), (F.lit(1.0) / F.count("*").over(Window.partitionBy("left_id"))).alias("w"))
 
 

@@ -89,7 +89,7 @@ def source_comparison(spark, sf_dir):
     p = materialize(points(spark, sf_dir))
     even, odd = p.where("id % 2 = 0"), p.where("id % 2 = 1")
     counts = p.groupBy("scope").agg(F.count_if(F.col("id") % 2 == 0).alias("n_a"), F.count_if(F.col("id") % 2 == 1).alias("n_b"))
-    found = N.nearest(even, odd, 1, 50.0).join(even.select(F.col("id").alias("left_id"), "scope"), "left_id").groupBy("scope").agg(F.percentile("dist", F.lit(0.5)).alias("median"))
+    found = N.nearest(even, odd).join(even.select(F.col("id").alias("left_id"), "scope"), "left_id").groupBy("scope").agg(F.percentile("dist", F.lit(0.5)).alias("median"))
     return rounded(counts.join(found, "scope").withColumn("advice", I.recommend(F.col("n_a"), F.col("n_b"), F.col("median"))), "median")
 
 

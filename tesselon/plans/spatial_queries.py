@@ -64,7 +64,7 @@ KNN = f"{PTS}, knn AS (SELECT a.id AS left_id, b.id AS right_id, a.scope, sqrt({
 @R.query(f"WITH {KNN} SELECT left_id, rank::INT AS rank, right_id, round(dist, 6) AS dist FROM knn")
 def knn_edges(spark, sf_dir):
     p = points(spark, sf_dir)
-    return rounded(N.nearest(p, p, 6, 50.0, same=True), "dist")
+    return rounded(N.nearest(p, p, 6, same=True), "dist")
 
 
 @R.query(f"WITH {PTS} SELECT a.id AS src, count(*) AS n, round(sum(CASE WHEN {D2} > 0 THEN 1 / sqrt({D2}) END), 6) AS weight FROM pts a JOIN pts b ON a.scope = b.scope AND a.id <> b.id AND {D2} <= 625 GROUP BY ALL")
@@ -118,12 +118,12 @@ def affine_compose(spark, sf_dir):
 
 
 @R.query(f"""WITH {PTS}, m AS (SELECT sample_id AS scope, modality, matrix FROM qupath_transforms WHERE matrix IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sample_id, modality ORDER BY transform_id DESC) = 1)
-    SELECT id, modality, round(matrix[1][1] * x + matrix[1][2] * y + matrix[1][3], 6) AS wx, round(matrix[2][1] * x + matrix[2][2] * y + matrix[2][3], 6) AS wy FROM pts JOIN m USING (scope)""")
+    SELECT id, modality, matrix[1][1] * x + matrix[1][2] * y + matrix[1][3] AS wx, matrix[2][1] * x + matrix[2][2] * y + matrix[2][3] AS wy FROM pts JOIN m USING (scope)""")
 def affine_apply(spark, sf_dir):
     """Cells in the frame of every modality of their sample, by its last transform."""
     latest = table(spark, sf_dir, "qupath_transforms").where("matrix is not null").groupBy(F.col("sample_id").alias("scope"), "modality").agg(F.max_by("matrix", "transform_id").alias("m"))
     wx, wy = G.apply_affine(F.col("m"), F.col("x"), F.col("y"))
-    return points(spark, sf_dir).join(latest, "scope").select("id", "modality", F.round(wx, 6).alias("wx"), F.round(wy, 6).alias("wy"))
+    return points(spark, sf_dir).join(latest, "scope").select("id", "modality", wx.alias("wx"), wy.alias("wy"))
 
 
 RINGS = """g AS (SELECT region_id, coordinates[1] AS r FROM roi_regions WHERE len(coordinates) > 0 AND len(coordinates[1]) > 2),

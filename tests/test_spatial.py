@@ -30,6 +30,22 @@ def test_nearest_is_exact_beyond_the_first_radius(spark):
     assert 900 not in got and N.nearest(pts(spark, []), pts(spark, right)).count() == 0
 
 
+def test_nearest_with_crowds_repeats_and_scopes_apart(spark):
+    """Half of scope a in one spot, repeated positions, a scope of one point, one without partners, radii of their own."""
+    rnd = random.Random(1)
+    rows = [(i, "a", rnd.gauss(5000, 2), rnd.gauss(5000, 2)) for i in range(60)] + [(100 + i, "a", rnd.uniform(0, 1e4), rnd.uniform(0, 1e4)) for i in range(60)]
+    rows += [(200 + i, "b", float(i % 3), 0.0) for i in range(9)] + [(300, "one", 7.0, 7.0), (301, "same", 1.0, 1.0), (302, "same", 1.0, 1.0)]
+    points = pts(spark, rows)
+    got = {(r.left_id, r["rank"]): (r.right_id, r.dist) for r in N.nearest(points, points, 4, same=True).collect()}
+    want = {}
+    for i, s, x, y in rows:
+        own = sorted((math.sqrt((x - u) ** 2 + (y - v) ** 2), j) for j, t, u, v in rows if t == s and i != j)[:4]
+        want |= {(i, n + 1): (j, pytest.approx(d)) for n, (d, j) in enumerate(own)}
+    assert got == want
+    radii = {r.scope: r.radius for r in N.first_radii(points, points, 4).collect()}
+    assert set(radii) == {"a", "b", "one", "same"} and radii["a"] < 1000 and min(radii.values()) > 0
+
+
 def test_cap_is_inclusive(spark):
     a, b = pts(spark, [(1, "s", 0.0, 0.0), (2, "s", 500.0, 0.0)]), pts(spark, [(7, "s", 50.0, 0.0)])
     got = {r.left_id: (r.right_id, r.dist, r.mapped) for r in N.map_to_nearest(a, b, 50.0).collect()}
