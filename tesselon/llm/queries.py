@@ -72,7 +72,7 @@ def p2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     graph = density.neighbour_graph(table(spark, sf_dir, "integrated_cells"), "cell_uid", "x", 0.95)
     # candidates are the roots of the hierarchy; whether all of their records are similar is decided exactly
-    return density.similar_sets(density.with_roots(graph, density.hierarchy(graph))).select(F.col("id").alias("cell_uid"), F.col("cluster").alias("cluster_uid"))
+    return density.similar_sets(graph, density.hierarchy(graph)).select(F.col("id").alias("cell_uid"), F.col("cluster").alias("cluster_uid"))
 
 
 def p4_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
