@@ -2,8 +2,9 @@
 
 Points are cut into square tiles with a halo, so that one shuffle of little more than one copy of each point brings
 together all that may be near one another; a tile is then swept along x in a stream of bounded memory. Tiles that hold
-very many points are cut further. Regions are covered by cells that lie fully inside or touch the boundary: a point in
-an inner cell is accepted by the equi-join alone, only points in boundary cells are tested against the rings.
+very many points are cut further. The nearest point of those far from all others is found by descending a pyramid of
+occupied cells. Regions are covered by cells that lie fully inside or touch the boundary: a point in an inner cell is
+accepted by the equi-join alone, only points in boundary cells are tested, against the edges that touch the cell.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ FOUND = "kind byte, left_id long, right_id long, dist double, flag byte"
 def points_of(df: DataFrame, record_id: str, scope: str, position: str, flag: str | None = None) -> DataFrame:
     """``id, scope, x, y, flag`` of the rows with a usable position; flag is 1, 0 or -1 for null.
 
-    Left out: null ids and scopes, positions that are null, shorter than two or not finite.
+    Left out: null ids and scopes, positions that are null, shorter than two, not finite or beyond 1e15, where a double
+    no longer tells pixels apart.
     """
     at = F.col(f"`{position}`")
-    big = F.lit(1e300)
+    big = F.lit(1e15)
     wanted = F.lit(-1) if flag is None else F.coalesce(F.col(f"`{flag}`").cast("int"), F.lit(-1))
     return df.select(
         F.col(f"`{record_id}`").cast("long").alias("id"), F.col(f"`{scope}`").alias("scope"), F.get(at, F.lit(0)).alias("x"), F.get(at, F.lit(1)).alias("y"), wanted.cast("byte").alias("flag")
@@ -173,47 +175,67 @@ def near_and_nearest(points: DataFrame, near: float, reach: float) -> DataFrame:
     return sweep(with_tiles(points, max(near, reach)), near, reach)
 
 
-def nearest_beyond(lonely: DataFrame, points: DataFrame, reach: float, growth: float = 4.0) -> DataFrame:
+#: Sides of neighbouring levels of the pyramid are in this ratio.
+STEP = 4
+
+
+def nearest_beyond(lonely: DataFrame, points: DataFrame, reach: float) -> DataFrame:
     """``left_id, right_id, dist, flag``: the nearest other point of the points ``lonely`` that have none within ``reach``.
 
-    The radius grows until each has one or the largest scope is exceeded; in each round only tiles with open points
-    are read. A point alone in its scope has no row.
+    The occupied cells of side ``reach`` are aggregated once and summed up to coarser and coarser levels, until a scope
+    is a few cells wide. From there each lonely point descends: of the cells that hold another point those are kept
+    whose near side is not beyond the nearest far side, and only the points of the last few cells are compared. No tile
+    or scope is read as a whole, however far an outlier lies. Ties go to the smaller id; a point alone in its scope has
+    no row.
     """
-    out: list[DataFrame] = []
-    edge = points.groupBy("scope").agg((F.max("x") - F.min("x") + F.max("y") - F.min("y")).alias("w")).agg(F.max("w")).first()[0] or 0.0
-    todo, n = lonely, lonely.count()
-    while n and reach <= edge:
-        reach *= growth
-        side = float(TILE * reach)
-        cell = lambda c: F.floor(F.col(c) / side)
-        tiles = materialize(todo.select("scope", cell("x").alias("tx"), cell("y").alias("ty")).distinct())
-        asked = todo.select("id", "scope", "x", "y", "flag")
-        rows = points.select("id", "scope", "x", "y", F.lit(-1).cast("byte").alias("flag"))
-        span = lambda c: F.sequence(F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side))
-        around = rows.withColumn("tx", F.explode(span("x"))).withColumn("ty", F.explode(span("y"))).join(small(tiles), ["scope", "tx", "ty"], "left_semi").withColumn("home", F.lit(False))
-        own = asked.select("id", "scope", "x", "y", "flag", cell("x").alias("tx"), cell("y").alias("ty"), F.lit(True).alias("home"))
-        laid = around.unionByName(own).withColumns({"sx": F.lit(0).cast("long"), "sy": F.lit(0).cast("long")})
-        got = materialize(sweep(laid, 0.0, reach).where("right_id is not null").select("left_id", "right_id", "dist", "flag"))
-        out.append(got)
-        todo = materialize(todo.join(small(got.select(F.col("left_id").alias("id"))), "id", "left_anti"))
-        n = todo.count()
-    if not out:
+    asked = materialize(lonely.select("id", "scope", "x", "y", "flag"))
+    cell = lambda c: F.floor(F.col(c) / reach)
+    there = points.join(small(asked.select("scope").distinct()), "scope", "left_semi")
+    base = materialize(there.groupBy("scope", cell("x").alias("cx"), cell("y").alias("cy")).agg(F.min("id").alias("low"), F.max("id").alias("high")))
+    wide = base.groupBy("scope").agg(F.greatest(F.max("cx") - F.min("cx"), F.max("cy") - F.min("cy")).alias("w")).agg(F.max("w")).first()[0]
+    if wide is None:
         return lonely.sparkSession.createDataFrame([], "left_id long, right_id long, dist double, flag byte")
-    all_found = out[0]
-    for part in out[1:]:
-        all_found = all_found.unionByName(part)
-    return all_found
-
-
-COVER = "scope string, side double, cx long, cy long, inner boolean, region_id long, rings array<array<array<double>>>"
+    levels = [base]
+    while STEP ** (len(levels) - 1) <= wide:
+        up = lambda c: F.floor(F.col(c) / STEP).alias(c)
+        levels.append(materialize(levels[-1].groupBy("scope", up("cx"), up("cy")).agg(F.min("low").alias("low"), F.max("high").alias("high"))))
+    kept = asked.join(small(levels[-1]), "scope")
+    for level in range(len(levels) - 1, -1, -1):
+        side = F.lit(reach * float(STEP) ** level)
+        off = lambda c, k: (F.col(k) * side - F.col(c), F.col(c) - (F.col(k) + 1) * side)  # noqa: E731, B023
+        near = [F.greatest(F.lit(0.0), *off(c, k)) for c, k in (("x", "cx"), ("y", "cy"))]
+        far = [side + F.greatest(*off(c, k)) for c, k in (("x", "cx"), ("y", "cy"))]
+        others = kept.where("low <> id or high <> id")
+        ranged = others.select("id", "scope", "x", "y", "flag", "cx", "cy", (near[0] * near[0] + near[1] * near[1]).alias("near"), (far[0] * far[0] + far[1] * far[1]).alias("far"))
+        ranged = materialize(ranged)
+        bound = ranged.groupBy("id", "x", "y").agg(F.min("far").alias("bound"))
+        kept = ranged.join(small(bound), ["id", "x", "y"]).where(F.col("near") <= F.col("bound") * (1 + 1e-9)).select("id", "scope", "x", "y", "flag", "cx", "cy")
+        if level:
+            child = lambda c: F.explode(F.sequence(F.col(c) * STEP, F.col(c) * STEP + STEP - 1))
+            kept = kept.withColumn("cx", child("cx")).withColumn("cy", child("cy")).join(levels[level - 1], ["scope", "cx", "cy"])
+    last = small(materialize(kept).withColumnsRenamed({"x": "px", "y": "py", "id": "left_id"}))
+    d2 = (F.col("x") - F.col("px")) * (F.col("x") - F.col("px")) + (F.col("y") - F.col("py")) * (F.col("y") - F.col("py"))
+    met = there.select("scope", cell("x").alias("cx"), cell("y").alias("cy"), "id", "x", "y").join(last, ["scope", "cx", "cy"]).where("id <> left_id")
+    best = met.groupBy("left_id", "px", "py").agg(F.min(F.struct(d2.alias("d2"), F.col("id").alias("right_id"), "flag")).alias("b"))
+    return best.groupBy("left_id").agg(F.min("b").alias("b")).select("left_id", "b.right_id", F.sqrt("b.d2").alias("dist"), "b.flag")
+
+
+#: Edges that a border cell may have before it is cut, and how often it is cut at most.
+EDGES, CUTS = 8, 6
+
+#: Cells of regions; a border cell has, for each ring that matters in it, whether the point ``at`` is inside the ring, and
+#: the ring's edges ``[ax, ay, bx, by]`` that touch the cell.
+COVER = "scope string, side double, cx long, cy long, inner boolean, region_id long, at array<double>, rings array<struct<inside: boolean, edges: array<array<double>>>>"
 
 
 def cover_regions(regions: DataFrame, region_id: str, scope: str, rings: str) -> DataFrame:
     """Adaptive cover of each region by square cells: ``inner`` ones lie strictly within it, the others touch a border.
 
     Cells have powers of four as their side; the first are such that two to eight span the region's longer edge, those
-    on the border are cut once more. Only border cells carry the rings. Null regions, ids or scopes and outlines of
-    fewer than three different corners have no cells; null or non-finite corners are left out of a ring.
+    on the border are cut once more, and again while more than ``EDGES`` edges touch them. A border cell carries only
+    these edges and on which side of the rings one of its points lies, so the cover grows with the outline and not with
+    cells times corners. Null regions, ids or scopes and outlines of fewer than three different corners have no cells;
+    null or non-finite corners are left out of a ring.
     """
     rows = regions.select(F.col(f"`{scope}`").alias("scope"), F.col(f"`{region_id}`").cast("long").alias("region_id"), F.col(f"`{rings}`").alias("rings")).where("scope is not null and region_id is not null and rings is not null")
     return rows.mapInPandas(_covers, COVER)
@@ -226,10 +248,9 @@ def _covers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rings = [r for r in (_ring(x) for x in raw) if r is not None] if len(raw) and _ring(raw[0]) is not None else []
             if not rings or len(np.unique(rings[0], axis=0)) < 3:
                 continue
-            plain = [r.tolist() for r in rings]
-            for side, cx, cy, inner in _cells(rings):
-                out.append((scope, side, cx, cy, inner, region, None if inner else plain))
-        yield pd.DataFrame(out, columns=["scope", "side", "cx", "cy", "inner", "region_id", "rings"])
+            for side, cx, cy, at, parts in _cells(rings):
+                out.append((scope, side, cx, cy, parts is None, region, at, parts))
+        yield pd.DataFrame(out, columns=["scope", "side", "cx", "cy", "inner", "region_id", "at", "rings"])
 
 
 def _ring(raw) -> np.ndarray | None:
@@ -244,36 +265,66 @@ def _ring(raw) -> np.ndarray | None:
     return ring if (ring[0] == ring[-1]).all() and len(ring) > 1 else np.vstack([ring, ring[:1]])
 
 
-def _cells(rings: list[np.ndarray]) -> Iterator[tuple[float, int, int, bool]]:
+def _cells(rings: list[np.ndarray]) -> Iterator[tuple[float, int, int, list | None, list | None]]:
     low, high = rings[0].min(0), rings[0].max(0)
     side = 4.0 ** np.ceil(np.log(max((high - low).max(), 1e-6) / 8) / np.log(4))
     a = np.vstack([r[:-1] for r in rings])
     b = np.vstack([r[1:] for r in rings])
+    ring = np.repeat(np.arange(len(rings)), [len(r) - 1 for r in rings])
     lo, hi = np.floor(low / side).astype(np.int64), np.floor(high / side).astype(np.int64)
+    # cells with the edges that may touch them; the first level has all
     gx, gy = (g.ravel() for g in np.meshgrid(np.arange(lo[0], hi[0] + 1), np.arange(lo[1], hi[1] + 1)))
-    for level in range(2):
-        touched = _touch(a, b, gx * side, gy * side, side)
-        free = ~touched
-        within = np.zeros(len(gx), bool)
-        within[free] = _odd(a, b, (gx[free] + 0.5) * side, (gy[free] + 0.5) * side, rings)
-        yield from ((side, int(i), int(j), True) for i, j in zip(gx[within], gy[within]))
-        gx, gy = gx[touched], gy[touched]
-        if level == 0:
-            side /= 4
-            off = np.arange(4)
-            ox, oy = (o.ravel() for o in np.meshgrid(off, off))
-            gx, gy = (gx[:, None] * 4 + ox).ravel(), (gy[:, None] * 4 + oy).ravel()
-    yield from ((side, int(i), int(j), False) for i, j in zip(gx, gy))
-
-
-def _touch(a: np.ndarray, b: np.ndarray, x0: np.ndarray, y0: np.ndarray, side: float) -> np.ndarray:
-    """Whether any segment a-b meets the closed square of each corner x0, y0 (separating axes)."""
+    todo = [(int(i), int(j), np.arange(len(a))) for i, j in zip(gx, gy)]
+    for level in range(CUTS + 1):
+        cut = []
+        for i, j, edges in todo:
+            edges = edges[_touch(a[edges], b[edges], np.array([i * side]), np.array([j * side]), side, each=True)]
+            if not len(edges):
+                if _odd(a, b, np.array([(i + 0.5) * side]), np.array([(j + 0.5) * side]), rings)[0]:
+                    yield side, i, j, None, None
+            elif level == 0 or (len(edges) > EDGES and level < CUTS):
+                cut += [(4 * i + p, 4 * j + q, edges) for p in range(4) for q in range(4)]
+            else:
+                yield from _border(a, b, ring, edges, rings, side, i, j)
+        todo, side = cut, side / 4
+
+
+def _border(a: np.ndarray, b: np.ndarray, ring: np.ndarray, edges: np.ndarray, rings: list[np.ndarray], side: float, i: int, j: int) -> Iterator[tuple]:
+    # a point of the cell on no line through a corner, so that no corner has one of its coordinates
+    share = 0.381966
+    for _ in range(20):
+        at = np.array([(i + share) * side, (j + share * 0.91) * side])
+        if not ((a[edges] == at) | (b[edges] == at)).any() and (_turn(a[edges], b[edges], at[0], at[1]) != 0).all():
+            break
+        share = share * 0.83 + 0.01
+    parts = []
+    for k in range(len(rings)):
+        own = edges[ring[edges] == k]
+        inside = bool(_odd(rings[k][:-1], rings[k][1:], at[:1], at[1:], rings[k : k + 1])[0])
+        if k and not len(own):
+            if inside:
+                return  # all of the cell lies in a hole
+            continue
+        if not k and not len(own) and not inside:
+            return  # only a hole outside of the outline touches the cell
+        parts.append((inside, np.hstack([a[own], b[own]]).tolist()))
+    yield side, i, j, at.tolist(), parts
+
+
+def _turn(a: np.ndarray, b: np.ndarray, x, y) -> np.ndarray:
+    return (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
+
+
+def _touch(a: np.ndarray, b: np.ndarray, x0: np.ndarray, y0: np.ndarray, side: float, each: bool = False) -> np.ndarray:
+    """Whether any segment a-b meets the closed square of each corner x0, y0 (separating axes); with ``each``, which
+    segments meet the one square given."""
     x0, y0 = x0[:, None], y0[:, None]
     apart = (np.maximum(a[:, 0], b[:, 0]) < x0) | (np.minimum(a[:, 0], b[:, 0]) > x0 + side) | (np.maximum(a[:, 1], b[:, 1]) < y0) | (np.minimum(a[:, 1], b[:, 1]) > y0 + side)
     d = b - a
     corners = [d[:, 0] * (y - a[:, 1]) - d[:, 1] * (x - a[:, 0]) for x in (x0, x0 + side) for y in (y0, y0 + side)]
     one_side = np.logical_and.reduce([c > 0 for c in corners]) | np.logical_and.reduce([c < 0 for c in corners])
-    return (~(apart | one_side)).any(1)
+    met = ~(apart | one_side)
+    return met[0] if each else met.any(1)
 
 
 def _odd(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
@@ -310,16 +361,38 @@ def strictly_inside(rings, x, y):
     return outline & ~F.exists(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0))), lambda r: crossings(r) > 0)
 
 
+def _within_cell(rings, at, x, y):
+    """Column: x, y lies strictly inside the first of a border cell's ``rings`` and neither in nor on any other.
+
+    The way from the point ``at`` goes along y, then along x; each edge of the cell that it crosses changes the side. Both
+    legs judge their common corner by the same sign, so a corner on an edge is on one side of it in both.
+    """
+    ax, ay = F.get(at, F.lit(0)), F.get(at, F.lit(1))
+
+    def crossed(part):
+        def step(acc, e):
+            x1, y1, x2, y2 = (F.get(e, F.lit(k)) for k in range(4))
+            turn = lambda px, py: (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
+            here, corner = turn(x, y), turn(ax, y)
+            on = (here == 0) & (x >= F.least(x1, x2)) & (x <= F.greatest(x1, x2)) & (y >= F.least(y1, y2)) & (y <= F.greatest(y1, y2))
+            upright = ((x1 > ax) != (x2 > ax)) & ((turn(ax, ay) >= 0) != (corner >= 0))
+            level = ((y1 > y) != (y2 > y)) & ((corner >= 0) != (here >= 0))
+            # inside in bit 0, on the border in bit 1
+            return F.when(on | (acc >= 2), F.lit(2)).when(upright != level, 1 - acc).otherwise(acc)
+
+        return F.aggregate(part["edges"], F.when(part["inside"], 1).otherwise(0), step)
+
+    return (crossed(F.get(rings, F.lit(0))) == 1) & ~F.exists(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0))), lambda r: crossed(r) > 0)
+
+
 def inside_regions(points: DataFrame, cover: DataFrame) -> DataFrame:
     """``id, region_id`` for each point strictly inside a region of its scope (see ``cover_regions``); once each.
 
-    Both sides meet on scope and cell by equi-join, one copy of a point for each cell side in use (a handful). An
-    inner cell accepts at once; only matches of border cells are tested against the rings.
+    Both sides meet on scope and cell by equi-join, one copy of a point for each cell side in use in its scope (a
+    handful). An inner cell accepts at once; only matches of border cells are tested, against the edges in the cell.
     """
-    sides = [r[0] for r in cover.select("side").distinct().collect()]  # powers of four that occur, a few
-    if not sides:
-        return points.sparkSession.createDataFrame([], "id long, region_id long")
-    keyed = points.select("id", "scope", "x", "y", F.explode(F.array(*[F.lit(s) for s in sides])).alias("side"))
+    sides = small(cover.select("scope", "side").distinct())
+    keyed = points.select("id", "scope", "x", "y").join(sides, "scope")
     keyed = keyed.withColumns({"cx": F.floor(F.col("x") / F.col("side")), "cy": F.floor(F.col("y") / F.col("side"))})
     matched = keyed.join(cover, ["scope", "side", "cx", "cy"])
-    return matched.where(F.col("inner") | strictly_inside(F.col("rings"), F.col("x"), F.col("y"))).select("id", "region_id").distinct()
+    return matched.where(F.col("inner") | _within_cell(F.col("rings"), F.col("at"), F.col("x"), F.col("y"))).select("id", "region_id").distinct()

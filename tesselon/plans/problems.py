@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tesselon.operators.proximity import cover_regions, inside_regions, near_and_nearest, nearest_beyond, points_of
 from tesselon.operators.references import orphan_references
 from tesselon.operators.skew import key_summary, top_k_per_key
+from tesselon.plans.mask_queries import CELL_IN, EDGES
 from tesselon.session import materialize, table
 
 #: table, reference column, time column, id column, parent table, parent key
@@ -108,6 +109,13 @@ def oracle_sql() -> dict[str, str]:
               count(a) AS n_area_px, sum(a) AS sum_area_px, avg(a) AS avg_area_px, min(a) AS min_area_px, max(a) AS max_area_px
             FROM (SELECT disease, phenotype, cell_uid, max(n_transcripts::DOUBLE) AS t, max(area_px::DOUBLE) AS a FROM integrated_cells
                   WHERE disease IS NOT NULL AND phenotype IS NOT NULL GROUP BY ALL) GROUP BY ALL""",
+        "p6_found": f"""
+            WITH {EDGES}, {CELL_IN}, pt AS (SELECT DISTINCT cell_uid AS id, sample_id AS s, spatial[1] AS x, spatial[2] AS y, within_threshold AS w FROM integrated_cells WHERE spatial IS NOT NULL AND sample_id IS NOT NULL),
+            pr AS (SELECT a.id AS i, b.id AS j, a.w, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM pt a JOIN pt b ON a.s = b.s AND a.id <> b.id),
+            nn AS (SELECT i, any_value(w) AS w, min(d2) AS d2, arg_min(j, (d2, j)) AS j FROM pr WHERE w IS NOT NULL GROUP BY i)
+            SELECT 'near' AS kind, i AS left_id, j AS right_id FROM pr WHERE d2 <= 144 AND i < j
+            UNION ALL SELECT 'flag', i, j FROM nn WHERE w <> (d2 <= 2500)
+            UNION ALL SELECT 'inside', id, region_id FROM ins""",
         "p6_near": """
             WITH c AS (SELECT DISTINCT cell_uid, sample_id, spatial[1] AS x, spatial[2] AS y FROM integrated_cells WHERE spatial IS NOT NULL),
             p AS (SELECT a.cell_uid AS a, b.cell_uid AS b, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) AS d

@@ -104,3 +104,29 @@ def test_strictly_inside_border(spark):
     df = spark.createDataFrame([(5.0, 5.0), (0.0, 5.0), (10.0, 10.0), (5.0, 0.0), (4.0, 5.0), (1.0, 1.0)], "x double, y double")
     rings = F.lit([[[0.0, 0.0], [10.0, 0.0], [10.0, 10.0], [0.0, 10.0], [0.0, 0.0]], [[4.0, 4.0], [6.0, 4.0], [6.0, 6.0], [4.0, 6.0], [4.0, 4.0]]])
     assert [r[0] for r in df.select(strictly_inside(rings, F.col("x"), F.col("y"))).collect()] == [False, False, False, False, False, True]
+
+
+def test_outlier_and_pile_stay_in_small_groups(spark):
+    """A far outlier, a pile of equal places and a dense field: exact, and no more than a few cells reach an outlier."""
+    rnd = random.Random(9)
+    rows = [(i, "a", [rnd.random() * 2_000, rnd.random() * 2_000], True) for i in range(4_000)]
+    rows += [(10_000 + i, "a", [9_000.0, 9_000.0], True) for i in range(500)] + [(20_000, "a", [-60_000.0, 3.0], True), (20_001, "a", [9_400.0, 9_000.0], True), (20_002, "b", [0.0, 0.0], True)]
+    points = make(spark, rows + rows[-3:])
+    lonely = points.where("id >= 20000").distinct()
+    _, _, overall = brute([r for r in rows if r[0] < 10_000 or r[0] >= 20_000] + [rows[4_000]], 1, 12)
+    got = {r.left_id: r.right_id for r in nearest_beyond(lonely, points, 12.0).collect()}
+    assert got == {i: overall[i] for i in (20_000, 20_001)}
+
+
+def test_border_cells_carry_their_own_edges(spark):
+    """A ring of many corners and holes that overlap: cells are cut until few edges are left in each."""
+    n = 400
+    star = [[500 + (480 - 60 * (k % 2)) * math.cos(2 * math.pi * k / n), 500 + (480 - 60 * (k % 2)) * math.sin(2 * math.pi * k / n)] for k in range(n)]
+    holes = [[[300.0, 300.0], [500.0, 300.0], [500.0, 500.0], [300.0, 500.0]], [[400.0, 400.0], [600.0, 400.0], [600.0, 600.0], [400.0, 600.0]], [[900.0, 900.0], [1200.0, 900.0], [1200.0, 1200.0], [900.0, 1200.0]]]
+    cover = cover_regions(spark.createDataFrame([(1, "a", [star, *holes])], "region_id long, scope string, rings array<array<array<double>>>"), "region_id", "scope", "rings").cache()
+    most = cover.where("not inner").select(F.max(F.size(F.flatten(F.transform("rings", lambda r: r["edges"]))))).first()[0]
+    assert most <= 8
+    rnd = random.Random(4)
+    rows = [(i, "a", [rnd.random() * 1_000, rnd.random() * 1_000], None) for i in range(2_000)] + [(5_000 + k, "a", [100.0 * (k % 10), 100.0 * (k // 10)], None) for k in range(100)]
+    got = {r.id for r in inside_regions(make(spark, rows), cover).collect()}
+    assert got == {i for i, _, (x, y), _ in rows if inside(star, x, y) and all(inside(h, x, y) is False for h in holes)}
