@@ -94,10 +94,9 @@ def orphan_references(
     split = split_key(F.col("key"))
     runs = key_runs(life.select(*split))
     status = match_runs(refs.select("key").distinct().select(*split), runs)
-    known = status.where("in_run").select("stem", "width", "num").join(life.select(*split, "lives"), ["stem", "width", "num"])
-    known = materialize(known)
+    known = materialize(status.join(life.select(*split, "lives"), ["stem", "width", "num"], "left"))
     found = refs.select("record_id", "at", *split).join(small(known), ["stem", "width", "num"], "left")
     alive = F.exists("lives", lambda x: (x.since <= F.col("at")) & (x.until.isNull() | (x.until > F.col("at"))))
     begun = F.exists("lives", lambda x: x.since <= F.col("at"))
-    kind = F.when(F.col("lives").isNull(), "missing").when(~F.coalesce(begun, F.lit(False)), "late").when(~F.coalesce(alive, F.lit(False)), "deleted")
+    kind = F.when(~F.col("in_run"), "missing").when(~F.coalesce(begun, F.lit(False)), "late").when(~F.coalesce(alive, F.lit(False)), "deleted")
     return found.select("record_id", kind.alias("kind"), "at").where("kind is not null")

@@ -15,19 +15,20 @@ from pyspark.sql import functions as F
 from tesselon.session import materialize, small
 
 
-def top_k_per_key(df: DataFrame, keys: Sequence[str], measure: str, record_id: str, k: int = 3, buckets: int = 64) -> DataFrame:
+def top_k_per_key(df: DataFrame, keys: Sequence[str], measure: str, record_id: str, k: int = 3) -> DataFrame:
     """The ``k`` records of each key with the largest ``measure``; ties go to the smaller ``record_id``.
 
     Rows with a null key, measure or id are left out, NaN measures too. Repeated rows of a record count once. A key
     with fewer than ``k`` records gives what it has; an empty table gives none. Result: keys, ``measure``,
     ``record_id``, ``rank``; other columns of ``df`` play no part, whatever their names.
 
-    First the largest measure in each of ``buckets`` id-buckets of a key, an ordinary ``max`` on a primitive, so that
+    First the largest measure in each of 64 or 4 ``k`` id-buckets of a key, an ordinary ``max`` on a primitive, so that
     it runs as a hash aggregate. The k-th largest of these maxima is reached by at least k records, so only rows from
     there on can be among the top k: a handful for each key, however large it is. A key whose records fall into fewer
     than ``k`` buckets has no bound; its few distinct records are all compared. Where very many records tie at the
     bound, ``distinct`` spreads them by record and the rank filter keeps k of each key before the last shuffle.
     """
+    buckets = max(64, 4 * k)
     names = [f"_k{i}" for i in range(len(keys))]
     rows = df.select(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(keys, names)],
