@@ -43,13 +43,17 @@ def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _percentiles(spark, sf_dir).select("field_name", "sample_id", *[F.round(c, 6).alias(c) for c in ("p50", "p75", "p90")])
+
+
+def _percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = percentiles.exact_percentiles(_keys(spark, sf_dir), [0.5, 0.75, 0.9])
-    by = lambda q: F.round(F.max(F.when(F.col("q") == q, F.col("value"))), 6)
+    by = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
     return found.groupBy("field_name", F.col("grp").alias("sample_id")).agg(by(0.5).alias("p50"), by(0.75).alias("p75"), by(0.9).alias("p90"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = p2_percentiles(spark, sf_dir)
+    p = _percentiles(spark, sf_dir)  # unrounded
     case = {"n_transcripts": F.col("p50") < 120, "area_px": F.col("p90") > 1500, "distance": F.col("p50") > 25, "median_distance": F.col("p75") > 60}
     hit = F.lit(False)
     for name, condition in case.items():
@@ -97,16 +101,17 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bins.groupBy("capacity").agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / F.sum("capacity")).alias("fill"))
 
 
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.assign_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"), "doc_id", "text", "area")
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    lexicon = subjects.fit_lexicon(documents, table(spark, sf_dir, "subject_labels"), "doc_id", "text", "area")
-    return subjects.assign_subjects(documents, "doc_id", "text", lexicon)
+    return _subjects(spark, sf_dir).select("doc_id", F.explode("areas").alias("area"))
 
 
 def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of each area and their share of all that have one; a document on two areas counts half for each."""
-    found = p9_found(spark, sf_dir)
-    each = found.join(found.groupBy("doc_id").count(), "doc_id").groupBy("area").agg(F.count("*").alias("documents"), F.sum(1 / F.col("count")).alias("weight"))
+    each = _subjects(spark, sf_dir).select(F.explode("areas").alias("area"), (1 / F.size("areas")).alias("part")).groupBy("area").agg(F.count("*").alias("documents"), F.sum("part").alias("weight"))
     whole = Window.partitionBy(F.lit(0))  # over one row for each area
     return each.select("area", "documents", "weight", (F.col("weight") / F.sum("weight").over(whole)).alias("share"))
 
@@ -124,7 +129,7 @@ _GROUPS_SQL = """
     m AS (SELECT s AS sample_id, 'comet' AS side, c AS idx, g AS group_idx FROM l
         UNION SELECT e.s, 'stomics', e.t, l.g FROM e JOIN l ON l.s = e.s AND l.c = e.c)
 """
-_PERCENTILES_SQL = "SELECT field_name, sample_id, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, round(quantile_cont(v, 0.9), 6) AS p90 FROM (" + " UNION ALL ".join(
+_PERCENTILES_SQL = "SELECT field_name, sample_id, quantile_cont(v, 0.5) AS p50, quantile_cont(v, 0.75) AS p75, quantile_cont(v, 0.9) AS p90 FROM (" + " UNION ALL ".join(
     f"SELECT '{field}' AS field_name, sample_id, {field}::DOUBLE AS v FROM {name}" for name, field, _ in MEASURES
 ) + ") WHERE v IS NOT NULL AND NOT isnan(v) AND sample_id IS NOT NULL GROUP BY ALL"
 
@@ -133,6 +138,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _GROUPS_SQL + "SELECT * FROM m QUALIFY count(*) OVER (PARTITION BY sample_id, group_idx) >= 3",
         "p1_groups": _GROUPS_SQL + "SELECT sample_id, group_idx, count(*) FILTER (side = 'comet') AS n_comet, count(*) FILTER (side = 'stomics') AS n_stomics FROM m GROUP BY ALL",
-        "p2_percentiles": _PERCENTILES_SQL,
+        "p2_percentiles": f"SELECT field_name, sample_id, round(p50, 6) AS p50, round(p75, 6) AS p75, round(p90, 6) AS p90 FROM ({_PERCENTILES_SQL})",
         "p2_found": f"SELECT field_name, sample_id FROM ({_PERCENTILES_SQL}) WHERE CASE field_name WHEN 'n_transcripts' THEN p50 < 120 WHEN 'area_px' THEN p90 > 1500 WHEN 'distance' THEN p50 > 25 ELSE p75 > 60 END",
     }

@@ -34,30 +34,54 @@ def frames(spark, rows, wrong=0.1, seed=0):
     return docs, spark.createDataFrame(labels + labels[:40], "doc_id long, area string, text string")
 
 
-def test_held_out_accuracy(spark):
-    docs, labels = frames(spark, corpus(1, 500))
-    lexicon = S.fit_lexicon(docs, labels, "doc_id", "text", "area")
-    held = corpus(2, 300)
-    test, _ = frames(spark, held)
+#: Sentence frames that no labelled text has.
+OTHER_FRAMES = ["We came for {} and stayed for {}.", "My cousin swears by {}.", "Nur {} hat uns überzeugt.", "It is all {}, nothing else!"]
+
+
+def found(docs, labels):
     got = {}
-    for r in S.assign_subjects(test, "doc_id", "text", lexicon).collect():
-        got.setdefault(r.doc_id, []).append(r.area)
-    right = sum(sorted(got[i]) == areas for i, _, areas in held)
-    assert right / len(held) >= 0.9
+    for r in S.assign_subjects(docs, labels, "doc_id", "text", "area").collect():
+        got[r.doc_id] = list(r.areas)
+    return got
+
+
+def test_held_out_accuracy(spark, monkeypatch):
+    """Texts without labels, in frames that no labelled text has."""
+    rows = corpus(1, 500)
+    monkeypatch.setitem(globals(), "FRAMES", OTHER_FRAMES)
+    held = [(1_000 + i, t, areas) for i, t, areas in corpus(2, 300)]
+    docs, _ = frames(spark, rows + held)
+    _, labels = frames(spark, rows)
+    got = found(docs, labels)
+    assert len(got) == 800 and sum(sorted(got[i]) == areas for i, _, areas in held) / len(held) >= 0.9
 
 
 def test_null_blank_and_repeated(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n　"), (4, "Nothing here."), (4, "Nothing here."), (5, "compost " * 20_000), (None, "compost.")], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, area string")
-    lexicon = S.fit_lexicon(docs, labels, "doc_id", "text", "area")
-    got = sorted(((r.doc_id is None, r.doc_id or 0, r.area) for r in S.assign_subjects(docs, "doc_id", "text", lexicon).collect()))
-    assert got == [(False, 4, "general"), (False, 4, "general"), (False, 5, "gardening"), (True, 0, "gardening")]
-    assert S.assign_subjects(docs.limit(0), "doc_id", "text", lexicon).count() == 0
+    got = sorted((r.doc_id is None, r.doc_id or 0, list(r.areas)) for r in S.assign_subjects(docs, labels, "doc_id", "text", "area").collect())
+    assert got == [(False, 4, ["general"]), (False, 4, ["general"]), (False, 5, ["gardening"]), (True, 0, ["gardening"])]
+    assert S.assign_subjects(docs.limit(0), labels, "doc_id", "text", "area").count() == 0
 
 
 def test_longest_term_counts():
-    terms = {"bar": ({"music": 1.0}, 1.0), "bar exam": ({"law": 1.0}, 1.0)}
-    m = S.Matcher(S.Lexicon(terms, ("by the way",), 0.3, 0.05).dumps())
-    assert m.weigh(S.normal("The bar exam!")) == {"law": 1.0}
-    assert m.weigh(S.normal("A bar, by the way.")) == {}
-    assert m.assign("One bar. Two bars. Bar exam.") == ["law", "music"]
+    terms = {"bar": {"music": 1.0}, "bar exam": {"law": 1.0}}
+    m = S.Matcher(S.Lexicon(terms, ("by the way",)).dumps())
+    assert m.hits(S.normal("The bar exam!")) == [1] and m.hits(S.normal("A bar, by the way.")) == []
+    assert S.weigh([0, 1], m.shares, [0.5, 1.0]) == {"music": 0.5, "law": 1.0}
+
+
+def test_length_of_the_text_counts():
+    shares, limits = [{"music": 1.0}, {"law": 1.0}], S.Thresholds(0.3, 0.05, 0.05)
+    total = S.subject_sentences([[0], [0], [1]], shares, [1.0, 1.0], 0.05)
+    assert total == {"music": 2.0, "law": 1.0}
+    assert S.areas_of(total, 5, limits) == ["law", "music"]
+    assert S.areas_of(total, 30, limits) == ["music"]  # law is in one sentence of thirty
+    assert S.areas_of(total, 300, limits) == ["general"]
+    assert S.areas_of({}, 3, limits) == ["general"]
+
+
+def test_rarity_is_that_of_all_documents(spark):
+    hits = spark.createDataFrame([(k, 2, [[0], [0, 1]] if k < 3 else [[1]]) for k in range(50)], "id long, n int, lines array<array<int>>")
+    rare, common, absent = S.rarities(hits, 3)
+    assert 0.05 <= common < rare < absent == 1.0
