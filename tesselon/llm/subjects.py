@@ -314,18 +314,18 @@ def find_terms(documents: DataFrame, record_id: str, text: str, lexicon: Lexicon
 
 
 def rarities(hits: DataFrame, terms: int) -> list[float]:
-    """Rarity of each term, 0 to 1, by the documents of the whole corpus that have it; counts are combined before the
-    shuffle and one number a term reaches the driver."""
+    """Rarity of each term, 0 to 1 (in one document of a thousand or fewer), by the share of the whole corpus that has it;
+    counts are combined before the shuffle and one number a term reaches the driver."""
     total = hits.count()
     docs = hits.select(F.explode(F.array_distinct(F.flatten("lines"))).alias("k")).groupBy("k").agg(F.count("*").alias("docs")).collect()
     out = [1.0] * terms
     for r in docs:
-        out[r["k"]] = max(0.05, math.log(1 + total / r["docs"]) / math.log(1 + total))
+        out[r["k"]] = min(1.0, math.log(1 + total / r["docs"]) / math.log(1 + 1_000))
     return out
 
 
 #: Thresholds that are tried.
-FLOORS, SHARES, COVERS = (0.05, 0.2, 0.35), (0.15, 0.2, 0.25, 0.3, 0.35, 0.4), (0.0, 0.05, 0.1)
+FLOORS, SHARES, COVERS = (0.05, 0.35, 0.5, 0.6), (0.2, 0.25, 0.3, 0.35), (0.0, 0.05, 0.1)
 
 
 def calibrate(hits: DataFrame, labelled: DataFrame, shares: list[dict[str, float]], rarity: list[float]) -> Thresholds:
@@ -347,12 +347,11 @@ def calibrate(hits: DataFrame, labelled: DataFrame, shares: list[dict[str, float
         yield pd.DataFrame([(*k, v) for k, v in out.items()], columns=["share", "cover", "floor", "what", "n"])
 
     sums = rows.mapInPandas(score, "share double, cover double, floor double, what string, n long").groupBy("share", "cover", "floor").pivot("what", ["hit", "all"]).sum("n").collect()
-    f1 = {(r["share"], -r["cover"], r["floor"]): 2 * r["hit"] / max(1, r["all"]) for r in sums}
+    f1 = {(r["share"], r["cover"], r["floor"]): 2 * r["hit"] / max(1, r["all"]) for r in sums}
     if not f1:
         return Thresholds(0.3, 0.0, 0.05)
-    # labels are too noisy to tell those apart that are nearly as good: the strictest share, the least cover
-    share, cover, floor = max(k for k, v in f1.items() if v >= max(f1.values()) - 0.002)
-    return Thresholds(share, -cover, floor)
+    # labels are too noisy to tell those apart that are nearly as good: the strictest of them
+    return Thresholds(*max(k for k, v in f1.items() if v >= max(f1.values()) - 0.0005))
 
 
 def assign_subjects(documents: DataFrame, labels: DataFrame, record_id: str, text: str, area: str) -> DataFrame:
