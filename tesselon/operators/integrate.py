@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tesselon.operators.geometry import apply_affine, invert_affine
+from tesselon.operators.quantiles import quantiles
 from tesselon.operators.stats import pearson
+from tesselon.session import small
 
 # Prefixes of mitochondrial features and of taxa; spatial autocorrelation thresholds by modality.
 MITOCHONDRIAL, TAXA = r"^(MT-|mt-)", r"^[gsfocp]__"
@@ -73,10 +75,8 @@ def image_agreement(one: DataFrame, two: DataFrame, above: float = 10.0, least:
 
 def stretch(df: DataFrame, column: str, by: str, low: float = 0.01, high: float = 0.995) -> DataFrame:
     """Adds ``stretched``: the column between two quantiles of its values above 0, cut to 0 .. 1; 0 without a range."""
-    from tesselon.session import small
-
     v = F.when(F.col(column) > 0, F.col(column).cast("double"))
-    bounds = df.groupBy(by).agg(F.percentile(v, F.lit(low)).alias("_lo"), F.percentile(v, F.lit(high)).alias("_hi"))
+    bounds = quantiles(df, [by], _lo=(v, low), _hi=(v, high))
     scaled = F.when(F.col("_hi") > F.col("_lo"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(column) - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))))).otherwise(0.0)
     return df.join(small(bounds), by).withColumn("stretched", scaled).drop("_lo", "_hi")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tesselon.operators.geometry import bounding_box, close_ring
 from tesselon.operators.proximity import strictly_inside
+from tesselon.operators.quantiles import quantiles
+from tesselon.session import clean, small
 
 #: Region classes from the lowest to the highest priority.
 ROI_ORDER = ("Other ROI", "TME ROI", "Tumor ROI", "Vessels ROI")
@@ -104,8 +106,6 @@ def phenotypes(cells: DataFrame, scope: str, markers: dict[str, str], q: float =
 
     ``markers`` maps marker names to columns; the thresholds are one row for each scope.
     """
-    from tesselon.session import clean, small
-
-    cuts = cells.groupBy(scope).agg(*[F.percentile(clean(F.col(c)), F.lit(q)).alias(f"cut_{c}") for c in markers.values()])
+    cuts = quantiles(cells, [scope], **{f"cut_{c}": (clean(F.col(c)), q) for c in markers.values()})
     positive = {m: clean(F.col(c)) >= F.col(f"cut_{c}") for m, c in markers.items()}
     return cells.join(small(cuts), scope).withColumn("called", classify(positive)).drop(*[f"cut_{c}" for c in markers.values()])

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesselon.session import clean, small
+from tesselon.operators.quantiles import quantiles
+from tesselon.session import clean, materialize, small
 
 TINY = 1e-10
 
@@ -23,6 +24,7 @@ def long_matrix(df: DataFrame, obs: str, vector: str, keep: Sequence[str] = (),
 
 
 def percentile(column: Column | str, q: float) -> Column:
+    """Spark's exact aggregate, for groups of a few thousand values at most (samples, features); else ``quantiles``."""
     return F.percentile(column, F.lit(q))
 
 
@@ -30,10 +32,8 @@ def feature_qc(long: DataFrame) -> DataFrame:
     """Per feature mean, std, median, min, max, 5th and 95th percentile of what is present, and the percentage above 0
     of all rows, missing ones included."""
     v = F.col("value")
-    return long.groupBy("feature").agg(
-        F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), percentile(v, 0.5).alias("median"), F.min(v).alias("min"), F.max(v).alias("max"),
-        (100 * F.count_if(v > 0) / F.count("*")).alias("pct_nonzero"), percentile(v, 0.05).alias("pct_5"), percentile(v, 0.95).alias("pct_95"),
-    )
+    plain = long.groupBy("feature").agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), (100 * F.count_if(v > 0) / F.count("*")).alias("pct_nonzero"))
+    return plain.join(small(quantiles(long, ["feature"], median=(v, 0.5), pct_5=(v, 0.05), pct_95=(v, 0.95))), "feature")
 
 
 def row_qc(df: DataFrame, obs: str, vector: str) -> DataFrame:
@@ -48,7 +48,7 @@ def row_qc(df: DataFrame, obs: str, vector: str) -> DataFrame:
 def robust_scale(long: DataFrame, low: float = 0.05, high: float = 0.95, centre: bool = True) -> DataFrame:
     """(value - median) / (q high - q low) by feature; a zero range counts as 1. Two passes: the feature statistics
     are one row for each feature and joined back."""
-    stats = long.groupBy("feature").agg(percentile("value", 0.5).alias("m"), (percentile("value", high) - percentile("value", low)).alias("r"))
+    stats = quantiles(long, ["feature"], m=("value", 0.5), _hi=("value", high), _lo=("value", low)).select("feature", "m", (F.col("_hi") - F.col("_lo")).alias("r"))
     shifted = F.col("value") - F.col("m") if centre else F.col("value")
     return long.join(small(stats), "feature").withColumn("value", shifted / F.when(F.col("r") == 0, 1.0).otherwise(F.col("r"))).drop("m", "r")
 
@@ -75,7 +75,8 @@ def tic_normalize(long: DataFrame, target: float | None = None) -> DataFrame:
     """Rows scaled to ``target`` or to the median of the positive row totals; rows of total 0 stay as they are."""
     totals = row_totals(long)
     if target is None:
-        goal = totals.where("total > 0").agg(percentile("total", 0.5).alias("goal"))
+        totals = materialize(totals)
+        goal = quantiles(totals.where("total > 0"), [], goal=("total", 0.5))
         totals = totals.join(F.broadcast(goal))  # one row
     else:
         totals = totals.withColumn("goal", F.lit(float(target)))
@@ -83,24 +84,23 @@ def tic_normalize(long: DataFrame, target: float | None = None) -> DataFrame:
 
 
 def filter_by_intensity(long: DataFrame, min_total: float | None = None, max_total: float | None = None, min_percentile: float | None = None, max_percentile: float | None = None) -> DataFrame:
-    """Observations whose total lies within the bounds, inclusive; percentiles are those of all totals."""
-    totals = row_totals(long)
+    """Observations (``obs``) whose total lies within the bounds, inclusive; percentiles are those of all totals."""
+    totals = materialize(row_totals(long))
     keep = F.lit(True)
     if min_total is not None:
         keep = keep & (F.col("total") >= min_total)
     if max_total is not None:
         keep = keep & (F.col("total") <= max_total)
     if min_percentile is not None or max_percentile is not None:
-        bounds = totals.agg(percentile("total", (min_percentile or 0) / 100).alias("lo"), percentile("total", (100 if max_percentile is None else max_percentile) / 100).alias("hi"))
+        bounds = quantiles(totals, [], lo=("total", (min_percentile or 0) / 100), hi=("total", (100 if max_percentile is None else max_percentile) / 100))
         totals = totals.join(F.broadcast(bounds))  # one row
         keep = keep & F.col("total").between(F.col("lo"), F.col("hi"))
-    return long.join(totals.where(keep).select("obs"), "obs", "left_semi")
+    return totals.where(keep).select("obs")
 
 
 def filter_features(long: DataFrame, min_nonzero_pct: float = 1.0) -> DataFrame:
-    """Features above 0 in at least this percentage of all rows."""
-    kept = long.groupBy("feature").agg((100 * F.count_if(F.col("value") > 0) / F.count("*")).alias("p")).where(F.col("p") >= min_nonzero_pct).select("feature")
-    return long.join(small(kept), "feature", "left_semi")
+    """Features (``feature``) above 0 in at least this percentage of all rows."""
+    return long.groupBy("feature").agg((100 * F.count_if(F.col("value") > 0) / F.count("*")).alias("p")).where(F.col("p") >= min_nonzero_pct).select("feature")
 
 
 def variability(long: DataFrame, method: str = "variance") -> DataFrame:
@@ -121,8 +121,8 @@ def tissue_contrast(long: DataFrame, min_rows: int = 10) -> DataFrame:
     Tissue is where the row total exceeds the 25th percentile of the positive totals; with fewer than ``min_rows`` rows
     on either side the score is the variance.
     """
-    totals = row_totals(long)
-    cut = totals.where("total > 0").agg(percentile("total", 0.25).alias("cut"))
+    totals = materialize(row_totals(long))
+    cut = quantiles(totals.where("total > 0"), [], cut=("total", 0.25))
     marked = totals.join(F.broadcast(cut)).select("obs", (F.col("total") > F.col("cut")).alias("tissue"))  # one row
     sides = marked.agg(F.count_if("tissue").alias("n_t"), F.count_if(~F.col("tissue")).alias("n_b"))
     t, b = F.when(F.col("tissue"), F.col("value")), F.when(~F.col("tissue"), F.col("value"))

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tesselon.operators.quantiles import quantiles
 from tesselon.session import materialize, small
 
 
@@ -46,7 +47,7 @@ def first_radii(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
     extent = both.groupBy("scope").agg(F.greatest(span("x"), span("y")).alias("edge"), of_right("x").alias("w"), of_right("y").alias("h"), F.sum("own").alias("n")).where("n > 0")
     even = F.greatest(F.sqrt(F.col("w") * F.col("h") * wanted / (math.pi * F.col("n"))), F.greatest("w", "h") * wanted / (2 * F.col("n")))
     mean = extent.select("scope", "edge", F.greatest(even, F.col("edge") * 1e-6, F.lit(1e-9)).alias("even"))
-    cells = right.join(mean, "scope").groupBy("scope", "edge", "even", F.floor(F.col("x") / F.col("even")).alias("cx"), F.floor(F.col("y") / F.col("even")).alias("cy")).agg(F.count("*").alias("c"))
+    cells = right.join(small(mean), "scope").groupBy("scope", "edge", "even", F.floor(F.col("x") / F.col("even")).alias("cx"), F.floor(F.col("y") / F.col("even")).alias("cy")).agg(F.count("*").alias("c"))
     crowd = cells.groupBy("scope", "edge", "even").agg((F.sum(F.col("c").cast("double") * F.col("c")) / F.sum("c")).alias("crowd"))
     usual = wanted / math.pi + 1.0
     shrunk = F.col("even") * F.least(F.lit(1.0), F.sqrt(2 * usual / F.col("crowd")))
@@ -122,8 +123,10 @@ def alignment_metrics(left: DataFrame, right: DataFrame) -> DataFrame:
     found = nearest(left, right).join(left.select(F.col("id").alias("left_id"), "scope"), "left_id")
     d = F.col("dist")
     share = lambda t: (100 * F.count_if(d < t) / F.count("*")).alias(f"pct_within_{t}px")
-    m = found.groupBy("scope").agg(F.count("*").alias("n"), F.percentile(d, F.lit(0.5)).alias("median_distance"), F.avg(d).alias("mean_distance"), F.stddev_pop(d).alias("std_distance"), F.min(d).alias("min_distance"), F.max(d).alias("max_distance"), share(30), share(50), share(100))
-    return m.withColumn("quality", quality_class(F.col("median_distance")))
+    found = materialize(found)
+    median = small(quantiles(found, ["scope"], median_distance=("dist", 0.5)))
+    m = found.groupBy("scope").agg(F.count("*").alias("n"), F.avg(d).alias("mean_distance"), F.stddev_pop(d).alias("std_distance"), F.min(d).alias("min_distance"), F.max(d).alias("max_distance"), share(30), share(50), share(100))
+    return m.join(median, "scope").withColumn("quality", quality_class(F.col("median_distance")))
 
 
 def knn_weights(points: DataFrame, k: int = 6) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tesselon.operators.matrix import percentile
+from tesselon.operators.quantiles import value_ranks
 from tesselon.session import materialize, small
 
 
@@ -106,17 +107,16 @@ def rank_sum(long: DataFrame, stratum: str, group: str, min_rows: int = 50) -> D
     """Per stratum, group and feature: z and p of the rank-sum test of the group against the others in the stratum.
 
     Normal approximation with average ranks and tie correction. Groups of fewer than ``min_rows`` observations don't
-    take part; a stratum with fewer than two groups left is skipped. Ranks are told from counts of equal values, so a
-    window covers the distinct values of a feature in a stratum and no single rows.
+    take part; a stratum with fewer than two groups left is skipped. Ranks are told from counts of equal values in
+    ranges of values (``value_ranks``), so a stratum's values are never ordered in one task.
     """
     sizes = long.groupBy(stratum, group).agg(F.countDistinct("obs").alias("n")).where(F.col("n") >= min_rows)
     sizes = sizes.withColumn("groups", F.count("*").over(Window.partitionBy(stratum))).where("groups > 1").select(stratum, group)
     rows = long.join(small(sizes), [stratum, group]).where("value is not null")
     by_value = rows.groupBy(stratum, "feature", "value", group).agg(F.count("*").alias("c"))
     values = by_value.groupBy(stratum, "feature", "value").agg(F.sum("c").alias("t"), F.map_from_entries(F.collect_list(F.struct(group, "c"))).alias("by"))
-    before = Window.partitionBy(stratum, "feature").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = values.withColumn("rank", F.coalesce(F.sum("t").over(before), F.lit(0)) + (F.col("t") + 1) / 2)
-    totals = values.groupBy(stratum, "feature").agg(F.sum("t").alias("n"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"))
+    ranked = materialize(value_ranks(values, [stratum, "feature"], "value", "t").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2))
+    totals = ranked.groupBy(stratum, "feature").agg(F.sum("t").alias("n"), F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("ties"))
     sums = ranked.select(stratum, "feature", "rank", F.explode("by").alias(group, "c")).groupBy(stratum, "feature", group).agg(F.sum("c").alias("n1"), F.sum(F.col("rank") * F.col("c")).alias("w"))
     both = sums.join(totals, [stratum, "feature"])
     n, n1 = F.col("n").cast("double"), F.col("n1").cast("double")
@@ -146,8 +146,7 @@ def pearson(x: Column, y: Column) -> Column:
 def average_ranks(df: DataFrame, value: str, name: str, *by: str) -> DataFrame:
     """Adds the average rank of ``value`` within ``by``, from counts of equal values; null for null."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_t"))
-    before = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = materialize(counts.select(*by, value, (F.coalesce(F.sum("_t").over(before), F.lit(0)) + (F.col("_t") + 1) / 2).alias(name)))
+    ranks = materialize(value_ranks(counts, by, value, "_t").select(*by, value, (F.col("before") + (F.col("_t") + 1) / 2).alias(name)))
     return df.join(small(ranks), [*by, value], "left")
 
 
@@ -157,7 +156,7 @@ def composition(df: DataFrame, sample: str, group: str, label: str) -> DataFrame
     return counts.withColumn("proportion", F.col("n") / F.sum("n").over(Window.partitionBy(sample)))
 
 
-def composition_wide(counts: DataFrame, sample: str, group: str, label: str, labels: list[str]) -> DataFrame:
-    """One column of shares for each of ``labels``, 0 where absent."""
+def composition_wide(counts: DataFrame, sample: str, group: str, label: str) -> DataFrame:
+    """One column of shares for each label that occurs, 0 where absent. The labels are as many columns, so a few."""
+    labels = [r[0] for r in counts.select(label).distinct().orderBy(label).collect()]
     return counts.groupBy(sample, group).pivot(label, labels).agg(F.sum("proportion")).na.fill(0.0, subset=labels)
-

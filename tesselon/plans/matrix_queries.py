@@ -78,12 +78,12 @@ def tic_normalize(spark, sf_dir):
 @R.query(f"""WITH {C}, t AS (SELECT obs, sum(value) AS total FROM c GROUP BY ALL), b AS (SELECT quantile_cont(total, 0.01) AS lo, quantile_cont(total, 0.99) AS hi FROM t)
     SELECT obs FROM t, b WHERE total BETWEEN lo AND hi""")
 def intensity_filter(spark, sf_dir):
-    return M.filter_by_intensity(expressed(spark, sf_dir), min_percentile=1, max_percentile=99).select("obs").distinct()
+    return M.filter_by_intensity(expressed(spark, sf_dir), min_percentile=1, max_percentile=99)
 
 
 @R.query(f"WITH {C} SELECT feature FROM c GROUP BY feature HAVING 100.0 * count(*) FILTER (value > 0) / count(*) >= 47")
 def coverage_filter(spark, sf_dir):
-    return M.filter_features(expressed(spark, sf_dir), 47).select("feature").distinct()
+    return M.filter_features(expressed(spark, sf_dir), 47)
 
 
 def _top(score: str) -> str:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tesselon.operators import stats as S
 from tesselon.plans.matrix_queries import C, expressed, rounded
 from tesselon.plans.registry import Registry
-from tesselon.session import clean, table
+from tesselon.operators.quantiles import quantiles
+from tesselon.session import clean, small, table
 
 R = Registry()
 queries, oracle_sql = R.queries, R.oracle_sql
@@ -51,19 +52,26 @@ def peaks_specific(spark, sf_dir):
     return S.specific_peaks(_peaks(spark, sf_dir), "disease")
 
 
-@R.query(f"""WITH {MOMENTS}, a AS (SELECT feature, count(mean) FILTER (disease = 'Serous') AS n1, count(mean) FILTER (disease = 'Clear cell') AS n2,
-      avg(mean) FILTER (disease = 'Serous') AS m1, avg(mean) FILTER (disease = 'Clear cell') AS m2,
-      var_pop(mean) FILTER (disease = 'Serous') AS v1, var_pop(mean) FILTER (disease = 'Clear cell') AS v2 FROM m GROUP BY ALL)
+@R.query(f"""WITH {MOMENTS}, two AS (SELECT disease, row_number() OVER (ORDER BY count(*) DESC, disease) AS place FROM integrated_cells WHERE disease IS NOT NULL GROUP BY disease),
+    a AS (SELECT feature, count(mean) FILTER (place = 1) AS n1, count(mean) FILTER (place = 2) AS n2, avg(mean) FILTER (place = 1) AS m1, avg(mean) FILTER (place = 2) AS m2,
+      var_pop(mean) FILTER (place = 1) AS v1, var_pop(mean) FILTER (place = 2) AS v2 FROM m JOIN two USING (disease) GROUP BY ALL)
     SELECT feature, round(m1, 6) AS mean_1, round(m2, 6) AS mean_2, round(log2((m1 + 1) / (m2 + 1)), 6) AS log2_fc,
       round((m1 - m2) / sqrt((v1 * n1 + v2 * n2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2)), 6) AS t, n1 + n2 - 2 AS df FROM a""")
 def ttest_statistic(spark, sf_dir):
-    return rounded(S.t_test(_moments(spark, sf_dir), "disease", "Serous", "Clear cell").drop("p"), "mean_1", "mean_2", "log2_fc", "t")
+    """The two diseases with the most cells against one another."""
+    return rounded(_two_diseases(spark, sf_dir).drop("p"), "mean_1", "mean_2", "log2_fc", "t")
+
+
+def _two_diseases(spark, sf_dir):
+    sizes = table(spark, sf_dir, "integrated_cells").where("disease is not null").groupBy("disease").count().orderBy(F.desc("count"), "disease")
+    one, two = ([r[0] for r in sizes.limit(2).collect()] + [None, None])[:2]
+    return S.t_test(_moments(spark, sf_dir), "disease", one, two)
 
 
 @R.query()
 def differential_test(spark, sf_dir):
     """t, p and false discovery rate of each feature between the two largest diseases."""
-    return S.adjust(S.t_test(_moments(spark, sf_dir), "disease", "Serous", "Clear cell"), "p")
+    return S.adjust(_two_diseases(spark, sf_dir), "p")
 
 
 @R.query("""WITH a AS (SELECT metric_id AS feature, sample_id, least(1.0, mean_distance / 100) AS p FROM (SELECT DISTINCT * EXCLUDE (run_at) FROM alignment_metrics)
@@ -135,13 +143,14 @@ def composition_share(spark, sf_dir):
     return rounded(S.composition(_cells(spark, sf_dir, "sample_id", "disease", "phenotype"), "sample_id", "disease", "phenotype"), "proportion")
 
 
-PHENOTYPES = ["Treg", "CD4+ T cell", "CD8+ T cell", "M2 Macrophage", "Macrophage", "B cell", "NK cell", "DC", "Neutrophil", "Immune (other)", "Epithelial", "Fibroblast", "Endothelial", "Unclassified"]
-
-
-@R.query(f"WITH {COMPOSITION} SELECT sample_id, disease, " + ", ".join(f"round(coalesce(sum(proportion) FILTER (phenotype = '{p}'), 0), 6) AS \"{p}\"" for p in PHENOTYPES) + " FROM s GROUP BY ALL")
+@R.query(f"""WITH {COMPOSITION}, w AS (SELECT sample_id, disease, coalesce(sum(proportion) FILTER (phenotype = p), 0) AS share, p FROM s CROSS JOIN (SELECT DISTINCT phenotype AS p FROM s) GROUP BY ALL)
+    SELECT sample_id, disease, string_agg(p || '=' || printf('%.6f', share), ';' ORDER BY p) AS shares FROM w GROUP BY ALL""")
 def composition_pivot(spark, sf_dir):
+    """A column for each phenotype of the data, here joined into one, for a schema that doesn't follow the data."""
     counts = S.composition(_cells(spark, sf_dir, "sample_id", "disease", "phenotype"), "sample_id", "disease", "phenotype")
-    return rounded(S.composition_wide(counts, "sample_id", "disease", "phenotype", PHENOTYPES), *PHENOTYPES)
+    wide = S.composition_wide(counts, "sample_id", "disease", "phenotype")
+    labels = sorted(c for c in wide.columns if c not in ("sample_id", "disease"))
+    return wide.select("sample_id", "disease", F.concat_ws(";", *[F.concat(F.lit(f"{c}="), F.format_string("%.6f", F.col(f"`{c}`"))) for c in labels]).alias("shares"))
 
 
 @R.query(f"SELECT phenotype, count(*) AS n FROM {CELLS} WHERE phenotype IS NOT NULL GROUP BY ALL ORDER BY n DESC, phenotype LIMIT 5")
@@ -152,22 +161,16 @@ def top_phenotypes(spark, sf_dir):
 @R.query(f"""SELECT sample_id, count(*) AS cells, median(n_transcripts)::DOUBLE AS median_counts, round(quantile_cont(n_transcripts::DOUBLE, 0.01), 6) AS q01, round(quantile_cont(n_transcripts::DOUBLE, 0.99), 6) AS q99,
     median(n_genes)::DOUBLE AS median_genes FROM {CELLS} GROUP BY ALL""")
 def sample_summary(spark, sf_dir):
-    q = lambda c, p: F.percentile(F.col(c).cast("double"), F.lit(p))
-    return rounded(
-        _cells(spark, sf_dir, "sample_id", "n_transcripts", "n_genes")
-        .groupBy("sample_id")
-        .agg(F.count("*").alias("cells"), q("n_transcripts", 0.5).alias("median_counts"), q("n_transcripts", 0.01).alias("q01"), q("n_transcripts", 0.99).alias("q99"), q("n_genes", 0.5).alias("median_genes")),
-        "q01", "q99",
-    )
+    cells = _cells(spark, sf_dir, "sample_id", "n_transcripts", "n_genes")
+    q = quantiles(cells, ["sample_id"], median_counts=("n_transcripts", 0.5), q01=("n_transcripts", 0.01), q99=("n_transcripts", 0.99), median_genes=("n_genes", 0.5))
+    sizes = cells.groupBy("sample_id").agg(F.count("*").alias("cells"))
+    return rounded(sizes.join(small(q), sizes["sample_id"].eqNullSafe(q["sample_id"])).drop(q["sample_id"]), "q01", "q99")
 
 
 @R.query(f"""WITH c AS (SELECT cell_uid, sample_id, n_genes::DOUBLE AS g, n_transcripts::DOUBLE AS t FROM {CELLS}),
     b AS (SELECT sample_id, quantile_cont(g, 0.01) AS g1, quantile_cont(t, 0.01) AS t1, quantile_cont(t, 0.99) AS t99 FROM c GROUP BY ALL)
     SELECT cell_uid FROM c JOIN b USING (sample_id) WHERE g >= g1 AND t BETWEEN t1 AND t99""")
 def quantile_cell_filter(spark, sf_dir):
-    from tesselon.session import small
-
     cells = _cells(spark, sf_dir, "sample_id", F.col("n_genes").cast("double").alias("g"), F.col("n_transcripts").cast("double").alias("t"))
-    q = lambda c, p: F.percentile(c, F.lit(p))
-    bounds = cells.groupBy("sample_id").agg(q("g", 0.01).alias("g1"), q("t", 0.01).alias("t1"), q("t", 0.99).alias("t99"))
+    bounds = quantiles(cells, ["sample_id"], g1=("g", 0.01), t1=("t", 0.01), t99=("t", 0.99))
     return cells.join(small(bounds), "sample_id").where("g >= g1 and t between t1 and t99").select("cell_uid")
