@@ -22,8 +22,10 @@ def principal_components(df: DataFrame, record_id: str, vector: str, k: int) ->
     """
     zeroed = F.transform(F.col(f"`{vector}`"), lambda x: F.coalesce(F.nanvl(x.cast("double"), F.lit(0.0)), F.lit(0.0)))
     rows = df.where(F.col(f"`{vector}`").isNotNull()).select(F.col(f"`{record_id}`").alias("id"), zeroed.alias("v"))
-    first = rows.select(F.size("v").alias("d")).first()
-    d = first[0] if first else 0
+    widths = rows.select(F.size("v").alias("d")).distinct().limit(2).collect()
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different lengths in {vector}")
+    d = widths[0][0] if widths else 0
     means = rows.agg(*[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(d)]).first() if d else []
     centred = rows.select("id", array_to_vector(F.transform("v", lambda x, i: x - F.get(F.array(*[F.lit(float(m)) for m in means]), i))).alias("features"))
     model = PCA(k=min(k, max(d, 1)), inputCol="features", outputCol="scores").fit(centred)
@@ -44,21 +46,40 @@ def with_neighbourhood(long: DataFrame, weights: DataFrame, mix: float = 0.8) ->
     return own.unionByName(near)
 
 
-def communities(edges: DataFrame, rounds: int = 8) -> DataFrame:
-    """``node, community`` by weighted label propagation on ``src, dst, w`` taken in both directions.
+def communities(edges: DataFrame, together: int = 8) -> DataFrame:
+    """``node, community`` by weighted label propagation on ``src, dst, w`` taken in both directions, until no node gains.
 
-    All nodes move at once to the label of the largest weight around them, ties to the smaller label; the own label
-    counts with the node's mean weight, which keeps pairs from swapping for ever. Two shuffles a round, aggregated on
-    the map side, and a table written in each, so that a lost executor costs one round at most.
+    In the first ``together`` rounds all nodes move at once to the label of the largest weight around them, ties to the
+    smaller label; the own label counts with the node's mean weight, which keeps pairs from swapping. After that only
+    nodes that gain by moving do, and of neighbours that would the one with the larger hash. Each such round adds to the
+    weight within communities, so the rounds come to an end; only nodes next to a change are looked at. A table is
+    written in each round, so that a lost executor costs one round at most.
     """
     both = edges.select("src", "dst", "w").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w")).groupBy("src", "dst").agg(F.sum("w").alias("w"))
     own = both.groupBy("src").agg(F.avg("w").alias("w")).select("src", F.col("src").alias("dst"), "w")
-    both = materialize(both.where("src <> dst").unionByName(own))
-    labels = materialize(both.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
-    for _ in range(rounds):
-        votes = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src", "community").agg(F.round(F.sum("w"), 9).alias("w"))
-        labels = materialize(votes.groupBy(F.col("src").alias("node")).agg(F.max_by("community", F.struct("w", (-F.col("community")).alias("c"))).alias("community")))
-    return labels
+    plain = materialize(both.where("src <> dst"))
+    looped = materialize(plain.unionByName(own))
+    labels = materialize(looped.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
+    better = F.max_by("community", F.struct("w", (-F.col("community")).alias("c")))
+    for _ in range(together):
+        votes = looped.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src", "community").agg(F.round(F.sum("w"), 9).alias("w"))
+        labels = materialize(votes.groupBy(F.col("src").alias("node")).agg(better.alias("community")))
+    look: DataFrame | None = None
+    turn = 0
+    while True:
+        asked = plain if look is None else plain.join(small(look), "src", "left_semi")
+        votes = asked.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy("src", "community").agg(F.round(F.sum("w"), 9).alias("w"))
+        now = labels.select(F.col("node").alias("src"), F.col("community").alias("now"))
+        best = votes.join(now, "src").groupBy("src", "now").agg(better.alias("new"), F.max("w").alias("most"), F.coalesce(F.max(F.when(F.col("community") == F.col("now"), F.col("w"))), F.lit(0.0)).alias("has"))
+        wish = materialize(best.where("most > has").select("src", "new", F.xxhash64("src", F.lit(turn)).alias("key")))
+        if wish.isEmpty():
+            return labels
+        mine, theirs = small(wish.select("src", "key")), small(wish.select(F.col("src").alias("dst"), F.col("key").alias("key_2")))
+        beaten = plain.join(mine, "src").join(theirs, "dst").where("key_2 > key or (key_2 = key and dst > src)").select("src").distinct()
+        moved = materialize(wish.join(beaten, "src", "left_anti").select("src", "new"))
+        labels = materialize(labels.join(small(moved.withColumnRenamed("src", "node")), "node", "left").select("node", F.coalesce("new", "community").alias("community")))
+        look = materialize(plain.join(small(moved.select(F.col("src").alias("dst"))), "dst", "left_semi").select("src").unionByName(wish.select("src")).distinct())
+        turn += 1
 
 
 def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:

@@ -1,14 +1,20 @@
-"""Polygons to pixels, pixel lookups, mask comparison; ordered classification rules."""
+"""Polygons to pixels, pixel lookups, mask comparison; ordered classification rules.
+
+A mask is kept as runs: ``scope, py, start, stop, label`` says that pixels ``start`` to ``stop`` - 1 of line ``py`` have a
+label. Runs of a line don't overlap and equal neighbours are one, so work and storage follow the outlines and not the
+areas. What a line holds meets on ``scope, py`` by equi-join.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesselon.operators.geometry import bounding_box, close_ring
-from tesselon.operators.proximity import strictly_inside
+from tesselon.operators.geometry import close_ring
 from tesselon.operators.quantiles import quantiles
 from tesselon.session import clean, small
 
@@ -24,17 +30,75 @@ def usable_regions(regions: DataFrame, region_id: str, scope: str, rings: str, *
 
 
 def rasterize(regions: DataFrame, label: str, priority: Column, step: float = 1.0) -> DataFrame:
-    """``scope, px, py, label``: pixels of side ``step`` whose centre lies strictly inside a region and in no hole.
+    """The mask of pixels of side ``step`` whose centre lies strictly inside a region and in or on no hole.
 
-    Of several regions the one of the highest ``priority`` wins, ties to the larger region_id. Background isn't stored.
+    Of several regions the one of the highest ``priority`` wins, ties to the larger region_id. Each region is cut into
+    its runs line by line; lines are then cut at all ends of runs and every piece goes to its best region. Background
+    isn't stored.
     """
-    x0, y0, x1, y1 = bounding_box(F.get("rings", F.lit(0)))
-    span = lambda lo, hi: F.sequence(F.floor(lo / step), F.floor(hi / step))
-    pixels = regions.select("region_id", "scope", "rings", F.col(label).alias("label"), priority.alias("priority"), F.explode(span(x0, x1)).alias("px"), y0.alias("y0"), y1.alias("y1"))
-    pixels = pixels.select("region_id", "scope", "rings", "label", "priority", "px", F.explode(span(F.col("y0"), F.col("y1"))).alias("py"))
-    centre = lambda c: (F.col(c) + 0.5) * step
-    inside = pixels.where(strictly_inside(F.col("rings"), centre("px"), centre("py")))
-    return inside.groupBy("scope", "px", "py").agg(F.max_by("label", F.struct("priority", "region_id")).alias("label"))
+    rows = regions.select("region_id", "scope", "rings", F.col(label).alias("label"), priority.cast("long").alias("priority"))
+    runs = rows.mapInPandas(_scan_lines(step), "scope string, py long, start long, stop long, region_id long, label string, priority long")
+    line = Window.partitionBy("scope", "py").orderBy("at")
+    ends = runs.select("scope", "py", F.explode(F.array("start", "stop")).alias("at")).distinct()
+    pieces = ends.withColumn("until", F.lead("at").over(line)).where("until is not null")
+    met = pieces.join(runs, ["scope", "py"]).where("start <= at and stop >= until")
+    best = met.groupBy("scope", "py", "at", "until").agg(F.max_by("label", F.struct("priority", "region_id")).alias("label"))
+    return _joined(best.select("scope", "py", F.col("at").alias("start"), F.col("until").alias("stop"), "label"))
+
+
+def _joined(runs: DataFrame) -> DataFrame:
+    """Neighbouring runs of one label as one."""
+    line = Window.partitionBy("scope", "py").orderBy("start")
+    new = ~(F.lag("stop").over(line).eqNullSafe(F.col("start")) & F.lag("label").over(line).eqNullSafe(F.col("label")))
+    numbered = runs.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(line))
+    return numbered.groupBy("scope", "py", "_run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.first("label").alias("label")).drop("_run")
+
+
+def _scan_lines(step: float):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for region, scope, rings, label, priority in frame[["region_id", "scope", "rings", "label", "priority"]].itertuples(index=False):
+                for py, start, stop in region_runs([np.array([list(p) for p in r], float).reshape(-1, 2) / step for r in rings]):
+                    out.append((scope, py, start, stop, region, label, priority))
+            yield pd.DataFrame(out, columns=["scope", "py", "start", "stop", "region_id", "label", "priority"])
+
+    return run
+
+
+def region_runs(rings: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+    """``line, start, stop`` of the pixels of side 1 whose centres lie strictly inside the first closed ring and neither
+    in nor on another."""
+    low, high = np.floor(rings[0][:, 1].min() - 0.5), np.ceil(rings[0][:, 1].max() - 0.5)
+    for line in range(int(low), int(high) + 1):
+        y = line + 0.5
+        inside: list[tuple[int, int]] = []
+        off: list[tuple[int, int]] = []
+        for k, ring in enumerate(rings):
+            a, b = ring[:-1], ring[1:]
+            up = (a[:, 1] > y) != (b[:, 1] > y)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                at = np.sort((a[:, 0] + (y - a[:, 1]) * (b[:, 0] - a[:, 0]) / (b[:, 1] - a[:, 1]))[up])
+            spans = list(zip(at[::2].tolist(), at[1::2].tolist()))
+            flat = (a[:, 1] == y) & (b[:, 1] == y)
+            touch = [(min(p, q), max(p, q)) for p, q in zip(a[flat, 0].tolist(), b[flat, 0].tolist())]
+            points = [(x, x) for x in a[a[:, 1] == y, 0].tolist()]
+            if k == 0:  # centres strictly between two crossings
+                inside = [(int(np.floor(p - 0.5)) + 1, int(np.ceil(q - 0.5))) for p, q in spans]
+                spans = []
+            off += [(int(np.ceil(p - 0.5)), int(np.floor(q - 0.5)) + 1) for p, q in spans + touch + points]
+        for start, stop in inside:
+            for x, z in sorted(o for o in off if o[1] > o[0]):
+                if x > start and x < stop:
+                    yield line, start, x
+                start = max(start, z) if x < stop else start
+            if start < stop:
+                yield line, start, stop
+
+
+def pixels_of(mask: DataFrame) -> DataFrame:
+    """``scope, px, py, label``: one row a pixel."""
+    return mask.select("scope", F.explode(F.sequence("start", F.col("stop") - 1)).alias("px"), "py", "label")
 
 
 def roi_priority(column: str) -> Column:
@@ -42,28 +106,43 @@ def roi_priority(column: str) -> Column:
 
 
 def mask_lookup(points: DataFrame, mask: DataFrame, step: float = 1.0, default: str | None = None) -> DataFrame:
-    """Points ``scope, x, y, ...`` with the ``label`` of their pixel, ``default`` where there is none: one equi-join."""
-    keyed = points.withColumns({"px": F.floor(F.col("x") / step), "py": F.floor(F.col("y") / step)})
-    found = keyed.join(mask, ["scope", "px", "py"], "left")
+    """Points ``scope, x, y, ...`` with the ``label`` of their pixel, ``default`` where there is none: an equi-join on the
+    line, the run by its ends."""
+    keyed = points.withColumns({"px": F.floor(F.col("x") / step), "py": F.floor(F.col("y") / step)}).alias("p")
+    on = (F.col("p.scope") == F.col("m.scope")) & (F.col("p.py") == F.col("m.py")) & (F.col("p.px") >= F.col("m.start")) & (F.col("p.px") < F.col("m.stop"))
+    found = keyed.join(mask.alias("m"), on, "left").select("p.*", F.col("m.label").alias("label"))
     return found.withColumn("label", F.coalesce("label", F.lit(default))) if default is not None else found
 
 
 def mask_overlap(one: DataFrame, two: DataFrame) -> DataFrame:
     """By scope: pixels of each mask, of both and of either, Jaccard index (0 without any)."""
-    a = one.select("scope", "px", "py", F.lit(True).alias("a"))
-    b = two.select("scope", "px", "py", F.lit(True).alias("b"))
-    both = a.join(b, ["scope", "px", "py"], "full")
-    counts = both.groupBy("scope").agg(F.count("a").alias("n_one"), F.count("b").alias("n_two"), F.count_if(F.col("a") & F.col("b")).alias("n_both"), F.count("*").alias("n_any"))
+    size = (F.col("stop") - F.col("start")).alias("size")
+    zero = F.lit(0).cast("long")
+    a = one.select("scope", size.alias("a"), zero.alias("b"), zero.alias("c"))
+    b = two.select("scope", zero.alias("a"), size.alias("b"), zero.alias("c"))
+    other = two.select("scope", "py", F.col("start").alias("start_2"), F.col("stop").alias("stop_2"))
+    shared = F.least("stop", "stop_2") - F.greatest("start", "start_2")
+    both = one.join(other, ["scope", "py"]).select("scope", zero.alias("a"), zero.alias("b"), shared.alias("c")).where("c > 0")
+    counts = a.unionByName(b).unionByName(both).groupBy("scope").agg(F.sum("a").alias("n_one"), F.sum("b").alias("n_two"), F.sum("c").alias("n_both"))
+    counts = counts.withColumn("n_any", F.col("n_one") + F.col("n_two") - F.col("n_both"))
     return counts.withColumn("jaccard", F.coalesce(F.try_divide("n_both", "n_any"), F.lit(0.0)))
 
 
 def mask_edges(mask: DataFrame) -> DataFrame:
-    """Foreground pixels whose upper or left neighbour has another label or none."""
-    left = mask.select("scope", (F.col("px") + 1).alias("px"), "py", F.col("label").alias("l"))
-    upper = mask.select("scope", "px", (F.col("py") + 1).alias("py"), F.col("label").alias("u"))
-    near = mask.join(left, ["scope", "px", "py"], "left").join(upper, ["scope", "px", "py"], "left")
-    same = lambda c: F.col(c).eqNullSafe(F.col("label"))
-    return near.where(~(same("l") & same("u"))).select("scope", "px", "py", "label")
+    """Foreground pixels whose upper or left neighbour has another label or none: ``scope, px, py, label``.
+
+    These are the first pixel of each run and what the runs of its label in the line above leave uncovered.
+    """
+    above = mask.select("scope", (F.col("py") + 1).alias("py"), F.col("label").alias("l"), F.col("start").alias("s"), F.col("stop").alias("e"))
+    m, u = mask.alias("m"), above.alias("u")
+    on = (F.col("m.scope") == F.col("u.scope")) & (F.col("m.py") == F.col("u.py")) & (F.col("m.label") == F.col("u.l")) & (F.col("u.s") < F.col("m.stop")) & (F.col("u.e") > F.col("m.start"))
+    covered = m.join(u, on, "left").groupBy("m.scope", "m.py", "m.start", "m.stop", "m.label").agg(F.array_sort(F.collect_list(F.when(F.col("u.s").isNotNull(), F.struct("u.s", "u.e")))).alias("c"))
+    # gaps between what is covered; equal runs above don't overlap
+    starts = F.concat(F.array("start"), F.transform("c", lambda x: x.e))
+    stops = F.concat(F.transform("c", lambda x: x.s), F.array("stop"))
+    gaps = F.filter(F.arrays_zip(starts.alias("s"), stops.alias("e")), lambda g: g["e"] > g["s"])
+    px = F.flatten(F.transform(gaps, lambda g: F.sequence(g["s"], g["e"] - 1)))
+    return covered.select("scope", F.explode(F.array_union(F.array("start"), px)).alias("px"), "py", "label")
 
 
 # Phenotype, markers that must be positive, markers that must not be; the first match wins.

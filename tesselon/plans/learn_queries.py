@@ -48,11 +48,10 @@ def cluster_sizes(spark, sf_dir):
 
 @R.query()
 def simplified_rings(spark, sf_dir):
-    """Vertices and area of each region's outline before and after simplification."""
-    ring = G.close_ring(F.get("coordinates", F.lit(0)))
-    rows = table(spark, sf_dir, "roi_regions").where("size(coordinates[0]) > 2").select("region_id", ring.alias("ring"))
+    """Vertices and area of each ring of a region, outline and holes, before and after simplification."""
+    rows = table(spark, sf_dir, "roi_regions").select("region_id", F.posexplode("coordinates").alias("ring_no", "raw")).where("size(raw) > 2").select("region_id", "ring_no", G.close_ring(F.col("raw")).alias("ring"))
     rows = rows.withColumn("simple", L.simplify_ring(F.col("ring"), 1.5))
-    return rows.select("region_id", F.size("ring").alias("n_before"), F.size("simple").alias("n_after"), F.abs(G.signed_area(F.col("ring"))).alias("area_before"), F.abs(G.signed_area(F.col("simple"))).alias("area_after"))
+    return rows.select("region_id", "ring_no", F.size("ring").alias("n_before"), F.size("simple").alias("n_after"), F.abs(G.signed_area(F.col("ring"))).alias("area_before"), F.abs(G.signed_area(F.col("simple"))).alias("area_after"))
 
 
 @R.query("SELECT event_type, date_trunc('day', ts) AS day, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")

@@ -14,7 +14,7 @@ from tesselon.session import clean, materialize, table
 R = Registry()
 queries, oracle_sql = R.queries, R.oracle_sql
 
-STEP = 8.0
+STEP = 1.0
 
 EDGES = """rg AS (SELECT region_id, sample_id AS scope, roi_class, unnest(coordinates) AS r, generate_subscripts(coordinates, 1) AS k FROM roi_regions
       WHERE coordinates IS NOT NULL AND sample_id IS NOT NULL AND len(list_distinct(coordinates[1])) >= 3),
@@ -60,9 +60,11 @@ def _mask(spark, sf_dir, only: str | None = None):
     return K.rasterize(K.usable_regions(regions, "region_id", "sample_id", "coordinates", "roi_class"), "roi_class", K.roi_priority("roi_class"), STEP)
 
 
-@R.query(f"WITH {RASTER} SELECT * FROM mask")
+@R.query(f"""WITH {RASTER}, g AS (SELECT *, px - row_number() OVER (PARTITION BY scope, py, label ORDER BY px) AS run FROM mask)
+    SELECT scope, py, min(px)::BIGINT AS start, max(px)::BIGINT + 1 AS stop, label FROM g GROUP BY scope, py, label, run""")
 def roi_raster(spark, sf_dir):
-    return _mask(spark, sf_dir)
+    """The mask of all regions at full resolution, as runs of pixels."""
+    return _mask(spark, sf_dir).select("scope", "py", "start", "stop", "label")
 
 
 LOOKUP = f"""{RASTER}, places AS (SELECT cell_uid, sample_id AS scope, greatest(coalesce(n_transcripts, 0), 0) AS t, floor(spatial[1] / {STEP})::BIGINT AS px, floor(spatial[2] / {STEP})::BIGINT AS py

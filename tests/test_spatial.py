@@ -104,7 +104,7 @@ def test_raster_priority_holes_and_overlap(spark):
     rows = [(1, "s", "TME ROI", [square(0.0, 10.0), square(2.0, 4.0)]), (2, "s", "Vessels ROI", [square(8.0, 12.0)]), (3, "s", "Tumor ROI", [[[0.0, 0.0], [1.0, 1.0]]])]
     regions = spark.createDataFrame(rows, "rid long, sid string, roi_class string, rings array<array<array<double>>>")
     mask = K.rasterize(K.usable_regions(regions, "rid", "sid", "rings", "roi_class"), "roi_class", K.roi_priority("roi_class"))
-    got = {(r.px, r.py): r.label for r in mask.collect()}
+    got = {(r.px, r.py): r.label for r in K.pixels_of(mask).collect()}
     assert len(got) == 100 - 4 + 16 - 4 and got[9, 9] == "Vessels ROI" and got[0, 0] == "TME ROI" and (2, 2) not in got
     over = K.mask_overlap(mask.where("label = 'TME ROI'"), mask).first()
     assert (over.n_one, over.n_two, over.n_both, over.n_any) == (92, 108, 92, 108)
@@ -114,6 +114,18 @@ def test_raster_priority_holes_and_overlap(spark):
     assert (0, 0) in edges and (1, 1) not in edges and (8, 8) in edges and (4, 2) in edges
 
 
+def test_raster_is_that_of_the_pixel_centres(spark):
+    from tesselon.operators.proximity import strictly_inside
+
+    rnd = random.Random(7)
+    ring = [[rnd.randrange(0, 60) / 2, rnd.randrange(0, 60) / 2] for _ in range(9)]
+    hole = [[8.5, 8.5], [14.0, 9.0], [10.0, 15.5]]
+    regions = K.usable_regions(spark.createDataFrame([(1, "s", [ring, hole])], "rid long, sid string, rings array<array<array<double>>>"), "rid", "sid", "rings").withColumn("c", F.lit("x"))
+    got = {(r.px, r.py) for r in K.pixels_of(K.rasterize(regions, "c", F.lit(0))).collect()}
+    grid = spark.range(32).select(F.col("id").alias("px")).crossJoin(spark.range(32).select(F.col("id").alias("py"))).crossJoin(regions)
+    assert got == {(r.px, r.py) for r in grid.where(strictly_inside(F.col("rings"), F.col("px") + 0.5, F.col("py") + 0.5)).collect()}
+
+
 def test_rules(spark):
     df = spark.createDataFrame([(1, True, True, True, False), (2, True, True, None, False), (3, None, None, None, True), (4, True, None, None, True), (5, None, None, None, None)], "id int, cd45 boolean, cd4 boolean, foxp3 boolean, keratin8 boolean")
     got = df.select("id", K.classify({m: F.col(m.lower()) for m in ("CD45", "CD4", "FOXP3", "KERATIN8")}).alias("c")).collect()
