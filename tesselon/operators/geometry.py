@@ -99,3 +99,24 @@ def mm_to_px(x: Column, y: Column, px_per_mm: float, width: Column, height: Colu
     if stage_x is not None and stage_y is not None:
         return (x - stage_x) * px_per_mm, (stage_y - y) * px_per_mm
     return x * px_per_mm + width / 2, height / 2 - y * px_per_mm
+
+
+def repaired(ring: Column) -> Column:
+    """A ring without null or non-finite corners and corners repeated one after another, closed; null if fewer than three
+    different corners are left or its area is 0."""
+    number = lambda p, k: F.get(p, F.lit(k))
+    usable = F.filter(ring, lambda p: p.isNotNull() & number(p, 0).isNotNull() & number(p, 1).isNotNull() & (F.abs(number(p, 0)) < 1e300) & (F.abs(number(p, 1)) < 1e300))
+    apart = F.filter(usable, lambda p, i: (i == 0) | (p != F.get(usable, i - 1)))
+    closed = close_ring(apart)
+    return F.when((F.size(F.array_distinct(apart)) >= 3) & (signed_area(closed) != 0), closed)
+
+
+def vertex_columns(ring: Column) -> tuple[Column, Column]:
+    """A ring's corners as an array of x and one of y."""
+    return F.transform(ring, lambda p: F.get(p, F.lit(0))), F.transform(ring, lambda p: F.get(p, F.lit(1)))
+
+
+def largest_ring(rings: Column) -> Column:
+    """The closed ring of the largest area, the first of several; null without any."""
+    keyed = F.transform(rings, lambda r, i: F.struct((-F.abs(signed_area(close_ring(r)))).alias("a"), i.alias("i"), close_ring(r).alias("r")))
+    return F.array_min(F.filter(keyed, lambda s: s["a"].isNotNull()))["r"]

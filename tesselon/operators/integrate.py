@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselon.operators.geometry import apply_affine, invert_affine
+from tesselon.operators.geometry import apply_affine, bounding_box, invert_affine
 from tesselon.operators.quantiles import quantiles
 from tesselon.operators.stats import pearson
 from tesselon.session import small
@@ -49,19 +49,27 @@ def displacement(moved: DataFrame, by: str) -> DataFrame:
     return moved.groupBy(by).agg(F.avg(dx).alias("mean_dx"), F.avg(dy).alias("mean_dy"), F.stddev_pop(dx).alias("std_dx"), F.stddev_pop(dy).alias("std_dy"), F.avg(F.hypot(dx, dy)).alias("mean_shift"), F.max(F.hypot(dx, dy)).alias("max_shift"))
 
 
-def warp_raster(pixels: DataFrame, matrix: Column, width: int, height: int) -> DataFrame:
-    """``scope, px, py, value`` moved by an affine, nearest pixel: every target pixel of the frame looks up its source
-    by the inverse, so there are neither holes nor doubles. Pixels that come from nowhere have no row.
+def warp_raster(pixels: DataFrame, transforms: DataFrame, width: int, height: int, bilinear: bool = True) -> DataFrame:
+    """``scope, px, py, value`` of rasters moved by the affine of their scope (``scope, matrix``), in a frame of the given
+    size: every target pixel looks up its source by the inverse, so there are neither holes nor doubles.
 
-    The targets are spread over the cluster by row; the lookup is one equi-join.
+    Bilinear: the four pixels around the source place, weighted by nearness; a pixel that isn't there counts as 0, a
+    target with none has no row. Else the nearest pixel. Targets are spread over the cluster by scope and line, the
+    lookup is one equi-join. A singular matrix raises an error, a null one leaves its scope out.
     """
-    spark = pixels.sparkSession
-    scopes = pixels.select("scope").distinct()
-    rows = spark.range(height).select(F.col("id").alias("py")).repartition(max(1, min(height, 200)))
-    frame = rows.withColumn("px", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long")))).join(F.broadcast(scopes.select("scope")))
-    sx, sy = apply_affine(invert_affine(matrix, strict=True), F.col("px").cast("double"), F.col("py").cast("double"))
-    asked = frame.select("scope", "px", "py", F.rint(sx).cast("long").alias("sx"), F.rint(sy).cast("long").alias("sy"))
-    return asked.join(pixels.select("scope", F.col("px").alias("sx"), F.col("py").alias("sy"), "value"), ["scope", "sx", "sy"]).select("scope", "px", "py", "value")
+    scopes = pixels.select("scope").distinct().join(transforms.where(F.col("matrix").isNotNull()).select("scope", "matrix"), "scope")
+    lines = scopes.withColumn("py", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(height - 1).cast("long")))).repartition("scope", "py")
+    frame = lines.withColumn("px", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(width - 1).cast("long"))))
+    sx, sy = apply_affine(invert_affine(F.col("matrix"), strict=True), F.col("px").cast("double"), F.col("py").cast("double"))
+    placed = frame.select("scope", "px", "py", sx.alias("x"), sy.alias("y"))
+    source = pixels.select("scope", F.col("px").alias("sx"), F.col("py").alias("sy"), "value")
+    if not bilinear:
+        asked = placed.select("scope", "px", "py", F.rint("x").cast("long").alias("sx"), F.rint("y").cast("long").alias("sy"))
+        return asked.join(source, ["scope", "sx", "sy"]).select("scope", "px", "py", "value")
+    fx, fy = F.col("x") - F.floor("x"), F.col("y") - F.floor("y")
+    taps = F.array(*[F.struct((F.floor("x") + i).alias("sx"), (F.floor("y") + j).alias("sy"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("w")) for i in (0, 1) for j in (0, 1)])
+    asked = placed.select("scope", "px", "py", F.explode(F.filter(taps, lambda t: t["w"] > 0)).alias("t")).select("scope", "px", "py", "t.*")
+    return asked.join(source, ["scope", "sx", "sy"]).groupBy("scope", "px", "py").agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
 def image_agreement(one: DataFrame, two: DataFrame, above: float = 10.0, least: int = 100) -> DataFrame:
@@ -131,3 +139,17 @@ def pair_files(one: DataFrame, two: DataFrame) -> DataFrame:
 def remaining(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What still has to run: the rows whose key isn't among the finished ones."""
     return todo.join(done.select(key).distinct(), key, "left_anti")
+
+
+def crop_points(points: DataFrame, windows: DataFrame) -> DataFrame:
+    """Points inside the window ``x0, y0, x1, y1`` of their scope, its upper ends not included, moved to its corner."""
+    inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))
+    return points.join(small(windows), "scope").where(inside).withColumns({"x": F.col("x") - F.col("x0"), "y": F.col("y") - F.col("y0")}).drop("x0", "y0", "x1", "y1")
+
+
+def crop_rings(rings: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rings ``scope, ring`` whose bounding box meets the window of their scope, moved to its corner."""
+    x0, y0, x1, y1 = bounding_box(F.col("ring"))
+    met = rings.join(small(windows), "scope").where((x0 < F.col("x1")) & (x1 >= F.col("x0")) & (y0 < F.col("y1")) & (y1 >= F.col("y0")))
+    moved = F.transform("ring", lambda p: F.array(F.get(p, F.lit(0)) - F.col("x0"), F.get(p, F.lit(1)) - F.col("y0")))
+    return met.withColumn("ring", moved).drop("x0", "y0", "x1", "y1")

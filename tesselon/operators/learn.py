@@ -46,6 +46,24 @@ def with_neighbourhood(long: DataFrame, weights: DataFrame, mix: float = 0.8) ->
     return own.unionByName(near)
 
 
+def connected(edges: DataFrame) -> DataFrame:
+    """``node, label``: the smallest node that each node of ``a, b`` reaches.
+
+    Each round a node takes the smallest label around it, then the label of its label, until none changes: rounds follow
+    the logarithm of the widest component's extent for most graphs. Minima are combined on the map side.
+    """
+    both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    while True:
+        around = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        stepped = materialize(labels.join(around, "node").select("node", "label", F.least("label", "near").alias("next")))
+        jumped = stepped.join(stepped.select(F.col("node").alias("next"), F.col("next").alias("far")), "next", "left")
+        after = materialize(jumped.select("node", "label", F.least("next", F.coalesce("far", F.col("next"))).alias("new")))
+        labels = after.select("node", F.col("new").alias("label"))
+        if after.where("new <> label").isEmpty():
+            return labels
+
+
 def communities(edges: DataFrame, together: int = 8) -> DataFrame:
     """``node, community`` by weighted label propagation on ``src, dst, w`` taken in both directions, until no node gains.
 

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tesselon.operators.geometry import close_ring
+from tesselon.operators.learn import connected
 from tesselon.operators.quantiles import quantiles
-from tesselon.session import clean, small
+from tesselon.session import clean, materialize, small
 
 #: Region classes from the lowest to the highest priority.
 ROI_ORDER = ("Other ROI", "TME ROI", "Tumor ROI", "Vessels ROI")
@@ -145,6 +146,56 @@ def mask_edges(mask: DataFrame) -> DataFrame:
     return covered.select("scope", F.explode(F.array_union(F.array("start"), px)).alias("px"), "py", "label")
 
 
+#: Lines of a mask that are linked within one task.
+BAND = 128
+
+
+def mask_components(mask: DataFrame) -> DataFrame:
+    """``scope, label, component, n_pixels, x0, y0, x1, y1``: connected areas of one label (pixels that share a side) with
+    their bounding box. Runs are linked within bands of ``BAND`` lines; only what meets between bands goes through joins.
+    ``component`` numbers follow the first run in order of line and start within the scope."""
+    rows = mask.select("scope", "py", "start", "stop", "label", F.floor(F.col("py") / BAND).alias("band"))
+    runs = materialize(rows.groupBy("scope", "band").applyInPandas(_linked, "scope string, py long, start long, stop long, label string, part string"))
+    below = runs.where(F.pmod("py", F.lit(BAND)) == 0).select(F.col("part").alias("b"), "scope", (F.col("py") - 1).alias("py"), "label", F.col("start").alias("s"), F.col("stop").alias("e"))
+    edges = runs.join(below, ["scope", "py", "label"]).where("s < stop and e > start").select(F.col("part").alias("a"), "b").distinct()
+    linked = connected(edges).select(F.col("node").alias("part"), F.col("label").alias("root"))
+    whole = runs.join(linked, "part", "left").withColumn("root", F.coalesce("root", "part"))
+    found = whole.groupBy("scope", "label", "root").agg(
+        F.sum(F.col("stop") - F.col("start")).alias("n_pixels"), F.min("start").alias("x0"), F.min("py").alias("y0"), F.max("stop").alias("x1"), (F.max("py") + 1).alias("y1"), F.min(F.struct("py", "start")).alias("first")
+    )
+    order = Window.partitionBy("scope").orderBy("first")  # areas of a sample
+    return found.select("scope", "label", F.row_number().over(order).alias("component"), "n_pixels", "x0", "y0", "x1", "y1")
+
+
+def _linked(band: pd.DataFrame) -> pd.DataFrame:
+    """Adds ``part``: the same name for runs of a band that hang together."""
+    band = band.sort_values(["py", "start"], ignore_index=True)
+    py, start, stop = (band[c].to_numpy() for c in ("py", "start", "stop"))
+    label = pd.factorize(band["label"])[0]
+    parent = list(range(len(band)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    lines = np.r_[np.flatnonzero(np.r_[True, py[1:] != py[:-1]]), len(py)]
+    for lo, mid, hi in zip(lines[:-2], lines[1:-1], lines[2:]):
+        if py[mid] != py[lo] + 1:
+            continue
+        first = lo + np.searchsorted(stop[lo:mid], start[mid:hi], side="right")
+        last = lo + np.searchsorted(start[lo:mid], stop[mid:hi], side="left")
+        for x in range(mid, hi):
+            for y in range(first[x - mid], last[x - mid]):
+                if label[x] == label[y]:
+                    p, q = find(x), find(y)
+                    parent[max(p, q)] = min(p, q)
+    roots = [find(x) for x in range(len(band))]
+    band["part"] = [f"{s}/{py[r]}/{start[r]}" for s, r in zip(band["scope"], roots)]
+    return band.drop(columns="band")
+
+
 # Phenotype, markers that must be positive, markers that must not be; the first match wins.
 PHENOTYPE_RULES = (
     ("Treg", ("CD45", "CD4", "FOXP3"), ()),

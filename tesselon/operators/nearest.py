@@ -142,18 +142,31 @@ def distance_weights(points: DataFrame, threshold: float, binary: bool = True) -
 
 
 def morans_i(values: DataFrame, weights: DataFrame) -> DataFrame:
-    """``scope, feature, n, i, expected_i`` from ``id, scope, feature, value`` and ``src, dst, w``.
+    """``scope, feature, n, i, expected_i, z`` from ``id, scope, feature, value`` and ``src, dst, w``.
 
-    A constant feature, or one without weights, has a null ``i``. Missing values leave their point out.
+    ``z`` is the distance from the expected value in standard deviations under normality, from the sums S0, S1 and S2
+    of the weights between points that have the feature. A constant feature, or one without weights, has a null ``i``.
+    Missing values leave their point out.
     """
     rows = values.where("value is not null")
     stats = rows.groupBy("scope", "feature").agg(F.avg("value").alias("m"), F.count("*").alias("n"))
     z = rows.join(small(stats.select("scope", "feature", "m")), ["scope", "feature"]).select("id", "scope", "feature", (F.col("value") - F.col("m")).alias("z"))
+    z = materialize(z)
     squares = z.groupBy("scope", "feature").agg(F.sum(F.col("z") * F.col("z")).alias("zz"))
     there = z.select(F.col("id").alias("dst"), "feature", F.col("z").alias("z2"))
-    cross = weights.join(z.withColumnRenamed("id", "src"), "src").join(there, ["dst", "feature"]).groupBy("scope", "feature").agg(F.sum(F.col("w") * F.col("z") * F.col("z2")).alias("wzz"), F.sum("w").alias("s0"))
-    i = F.when((F.col("zz") > 1e-12) & (F.col("s0") > 0), F.col("n") / F.col("s0") * F.col("wzz") / F.col("zz"))
-    return stats.join(squares, ["scope", "feature"]).join(cross, ["scope", "feature"], "left").select("scope", "feature", "n", i.alias("i"), F.when(F.col("n") > 1, -1 / (F.col("n") - 1)).alias("expected_i"))
+    back = weights.select(F.col("src").alias("dst"), F.col("dst").alias("src"), F.col("w").alias("back"))
+    both = weights.join(back, ["src", "dst"], "left").select("src", "dst", "w", F.coalesce("back", F.lit(0.0)).alias("back"))
+    edges = both.join(z.withColumnRenamed("id", "src"), "src").join(there, ["dst", "feature"])
+    out = edges.groupBy("scope", "feature", F.col("src").alias("id")).agg(F.sum(F.col("w") * F.col("z") * F.col("z2")).alias("wzz"), F.sum("w").alias("w"), F.sum(F.col("w") * (F.col("w") + F.col("back"))).alias("s1"))
+    into = edges.groupBy("scope", "feature", F.col("dst").alias("id")).agg(F.lit(0.0).alias("wzz"), F.sum("w").alias("w"), F.lit(0.0).alias("s1"))
+    ends = out.withColumn("s0", F.col("w")).unionByName(into.withColumn("s0", F.lit(0.0))).groupBy("scope", "feature", "id").agg(F.sum("wzz").alias("wzz"), F.sum("w").alias("w"), F.sum("s1").alias("s1"), F.sum("s0").alias("s0"))
+    sums = ends.groupBy("scope", "feature").agg(F.sum("wzz").alias("wzz"), F.sum("s0").alias("s0"), F.sum("s1").alias("s1"), F.sum(F.col("w") * F.col("w")).alias("s2"))
+    n = F.col("n").cast("double")
+    i = F.when((F.col("zz") > 1e-12) & (F.col("s0") > 0), n / F.col("s0") * F.col("wzz") / F.col("zz"))
+    expected = F.when(n > 1, -1 / (n - 1))
+    variance = F.try_divide(n * n * F.col("s1") - n * F.col("s2") + 3 * F.col("s0") * F.col("s0"), (n * n - 1) * F.col("s0") * F.col("s0")) - expected * expected
+    found = stats.join(squares, ["scope", "feature"]).join(sums, ["scope", "feature"], "left")
+    return found.select("scope", "feature", "n", i.alias("i"), expected.alias("expected_i"), F.when(variance > 1e-15, (i - expected) / F.sqrt(variance)).alias("z"))
 
 
 def permuted_p(values: DataFrame, weights: DataFrame, permutations: int = 99, seed: int = 0) -> DataFrame:
@@ -173,3 +186,30 @@ def permuted_p(values: DataFrame, weights: DataFrame, permutations: int = 99, se
     real = morans_i(rows, weights).select("scope", "feature", "i", "expected_i")
     out = F.when(F.col("i") >= F.col("expected_i"), F.col("drawn") >= F.col("i")).otherwise(F.col("drawn") <= F.col("i"))
     return found.join(real, ["scope", "feature"]).groupBy("scope", "feature").agg(((F.count_if(out) + 1) / (F.count("*") + 1)).alias("p_sim"))
+
+
+def nearest_vectors(left: DataFrame, right: DataFrame, vectors: DataFrame, cap: float) -> DataFrame:
+    """``left_id, right_id, vector``: the vector (``id, vector``) of the nearest right point at most ``cap`` away.
+
+    Farther ones, and points with none, have a null ``right_id`` and a vector of zeros as long as the longest there is.
+    """
+    pairs = range_join(left, right, cap)
+    closest = pairs.groupBy("left_id").agg(F.min(F.struct("dist", "right_id")).alias("c")).select("left_id", F.col("c.right_id").alias("right_id"))
+    width = vectors.agg(F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("d"))
+    found = left.select(F.col("id").alias("left_id")).join(closest, "left_id", "left").join(vectors.select(F.col("id").alias("right_id"), "vector"), "right_id", "left")
+    zeros = F.transform(F.sequence(F.lit(1), F.greatest(F.col("d"), F.lit(1))), lambda _: F.lit(0.0))
+    return found.join(F.broadcast(width)).select("left_id", "right_id", F.coalesce("vector", F.when(F.col("d") > 0, zeros)).alias("vector"))  # one row
+
+
+def annotate(points: DataFrame, labelled: DataFrame, label: str, cap: float = 30.0) -> DataFrame:
+    """``id, label, source``: a point's own label, else that of the nearest labelled point at most ``cap`` away, else null.
+
+    ``points`` have ``id, scope, x, y`` and the label, null where unknown; ties go to the smaller id.
+    """
+    known = points.where(F.col(label).isNotNull()).select("id", F.col(label).alias("label"), F.lit("own").alias("source"))
+    open_ = points.where(F.col(label).isNull())
+    pairs = range_join(open_, labelled.where(F.col(label).isNotNull()), cap)
+    closest = pairs.groupBy("left_id").agg(F.min(F.struct("dist", "right_id")).alias("c")).select(F.col("left_id").alias("id"), F.col("c.right_id").alias("right_id"))
+    names = labelled.select(F.col("id").alias("right_id"), F.col(label).alias("label"))
+    near = open_.select("id").join(closest, "id", "left").join(names, "right_id", "left")
+    return known.unionByName(near.select("id", "label", F.when(F.col("label").isNotNull(), "nearest").alias("source")))

@@ -160,3 +160,16 @@ def composition_wide(counts: DataFrame, sample: str, group: str, label: str) ->
     """One column of shares for each label that occurs, 0 where absent. The labels are as many columns, so a few."""
     labels = [r[0] for r in counts.select(label).distinct().orderBy(label).collect()]
     return counts.groupBy(sample, group).pivot(label, labels).agg(F.sum("proportion")).na.fill(0.0, subset=labels)
+
+
+def spearman_map(df: DataFrame, one: list[str], two: list[str], record_id: str, least: int = 10) -> DataFrame:
+    """``one, two, n, rho`` for every pair of a column of either list: rank correlation of the rows where both are present.
+
+    Ranks are those of such rows, told from value counts by ranges of values; all pairs go through one job.
+    """
+    values = F.array(*[F.struct(F.lit(a).alias("one"), F.lit(b).alias("two"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a in one for b in two])
+    there = lambda c: c.isNotNull() & ~F.isnan(c)
+    rows = df.select(record_id, F.explode(values).alias("v")).select(record_id, "v.*").where(there(F.col("x")) & there(F.col("y")))
+    rows = materialize(rows)
+    ranked = average_ranks(average_ranks(rows, "x", "rx", "one", "two"), "y", "ry", "one", "two")
+    return ranked.groupBy("one", "two").agg(F.count("*").alias("n"), pearson(F.col("rx"), F.col("ry")).alias("rho")).where(F.col("n") >= least)

@@ -156,10 +156,12 @@ def channel_merge_outer(spark, sf_dir):
     return wide.select("x", "y", present.alias("n_channels"), F.round(total, 6).alias("total"))
 
 
-@R.query(f"SELECT x, y, round(sum(value), 6) AS total FROM ({_PIVOT}) GROUP BY ALL HAVING count(DISTINCT channel) = (SELECT count(DISTINCT event_type) FROM events)")
+@R.query(f"SELECT x, y // 100 AS y, round(sum(value), 6) AS total FROM ({_PIVOT}) GROUP BY ALL HAVING count(DISTINCT channel) = (SELECT count(DISTINCT event_type) FROM events)")
 def channel_merge_inner(spark, sf_dir):
+    """Blocks of 100 users that have every channel."""
     kinds = _kinds(spark, sf_dir)
-    return M.merge_channels(_pixels(spark, sf_dir), kinds, "inner").select("x", "y", F.round(sum((F.col(k) for k in kinds), F.lit(0.0)), 6).alias("total"))
+    blocks = _pixels(spark, sf_dir).withColumn("y", F.floor(F.col("y") / 100))
+    return M.merge_channels(blocks, kinds, "inner").select("x", "y", F.round(sum((F.col(k) for k in kinds), F.lit(0.0)), 6).alias("total"))
 
 
 @R.query(f"""WITH c AS (SELECT y AS obs, channel AS feature, sum(ceil(value)) AS value FROM ({_PIVOT}) GROUP BY ALL), t AS (SELECT obs, sum(value) AS total FROM c GROUP BY ALL)

@@ -8,9 +8,10 @@ from tesselon.operators import geometry as G
 from tesselon.operators import nearest as N
 from tesselon.operators.density import density_bins as bins_of
 from tesselon.operators.density import dense_windows as windows_of
+from tesselon.operators.stats import adjust, normal_p
 from tesselon.plans.matrix_queries import rounded
 from tesselon.plans.registry import Registry
-from tesselon.session import clean, table
+from tesselon.session import clean, materialize, table
 
 R = Registry()
 queries, oracle_sql = R.queries, R.oracle_sql
@@ -72,28 +73,54 @@ def distance_band(spark, sf_dir):
     return rounded(N.distance_weights(points(spark, sf_dir), 25.0, binary=False).groupBy("src").agg(F.count("*").alias("n"), F.sum("w").alias("weight")), "weight")
 
 
-def _measures(spark, sf_dir):
-    cells = table(spark, sf_dir, "integrated_cells").select(F.col("cell_uid").alias("id"), F.col("sample_id").alias("scope"), "spatial", *[clean(c).alias(c) for c in ("protein_cd45", "protein_cd4", "protein_keratin8", "area_px")]).where("spatial is not null").drop("spatial").dropDuplicates(["id"])
-    return cells.unpivot(["id", "scope"], ["protein_cd45", "protein_cd4", "protein_keratin8", "area_px"], "feature", "value")
+def _measures(spark, sf_dir, measures=("protein_cd45", "protein_cd4", "protein_keratin8", "area_px")):
+    cells = table(spark, sf_dir, "integrated_cells").select(F.col("cell_uid").alias("id"), F.col("sample_id").alias("scope"), "spatial", *[clean(c).alias(c) for c in measures]).where("spatial is not null").drop("spatial").dropDuplicates(["id"])
+    return cells.unpivot(["id", "scope"], list(measures), "feature", "value")
 
 
 MORAN = f"""{KNN}, wt AS (SELECT left_id AS src, right_id AS dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY left_id) AS w FROM knn),
     v0 AS (SELECT DISTINCT ON (cell_uid) cell_uid AS id, sample_id AS scope, protein_cd45::DOUBLE AS protein_cd45, protein_cd4::DOUBLE AS protein_cd4, protein_keratin8::DOUBLE AS protein_keratin8, area_px::DOUBLE AS area_px FROM integrated_cells WHERE spatial IS NOT NULL),
     v AS (SELECT id, scope, feature, value FROM (UNPIVOT v0 ON protein_cd45, protein_cd4, protein_keratin8, area_px INTO NAME feature VALUE value) WHERE value IS NOT NULL AND NOT isnan(value)),
     z AS (SELECT id, scope, feature, value - avg(value) OVER (PARTITION BY scope, feature) AS z FROM v), s AS (SELECT scope, feature, count(*) AS n, sum(z * z) AS zz FROM z GROUP BY ALL),
-    x AS (SELECT a.scope, a.feature, sum(w * a.z * b.z) AS wzz, sum(w) AS s0 FROM wt JOIN z a ON a.id = src JOIN z b ON b.id = dst AND b.feature = a.feature GROUP BY ALL),
-    i AS (SELECT scope, feature, n, CASE WHEN zz > 1e-12 AND s0 > 0 THEN n / s0 * wzz / zz END AS i, CASE WHEN n > 1 THEN -1.0 / (n - 1) END AS expected_i FROM s LEFT JOIN x USING (scope, feature))"""
+    ew AS (SELECT a.scope, a.feature, wt.src, wt.dst, wt.w, coalesce(r.w, 0) AS back, a.z AS z1, b.z AS z2 FROM wt LEFT JOIN wt r ON r.src = wt.dst AND r.dst = wt.src JOIN z a ON a.id = wt.src JOIN z b ON b.id = wt.dst AND b.feature = a.feature),
+    x AS (SELECT scope, feature, sum(w * z1 * z2) AS wzz, sum(w) AS s0, sum(w * (w + back)) AS s1 FROM ew GROUP BY ALL),
+    y AS (SELECT scope, feature, sum(w * w) AS s2 FROM (SELECT scope, feature, id, sum(w) AS w FROM (SELECT scope, feature, src AS id, w FROM ew UNION ALL SELECT scope, feature, dst, w FROM ew) GROUP BY ALL) GROUP BY ALL),
+    i0 AS (SELECT *, CASE WHEN zz > 1e-12 AND s0 > 0 THEN n / s0 * wzz / zz END AS i, CASE WHEN n > 1 THEN -1.0::DOUBLE / (n - 1) END AS expected_i FROM s LEFT JOIN x USING (scope, feature) LEFT JOIN y USING (scope, feature)),
+    i AS (SELECT *, (n::DOUBLE * n * s1 - n * s2 + 3 * s0 * s0) / ((n::DOUBLE * n - 1) * s0 * s0) - expected_i * expected_i AS var FROM i0)"""
 
 
 @R.query(f"WITH {MORAN} SELECT scope, feature, n, round(i, 6) AS i, round(expected_i, 6) AS expected_i FROM i")
 def morans_i(spark, sf_dir):
-    return rounded(N.morans_i(_measures(spark, sf_dir), N.knn_weights(points(spark, sf_dir))), "i", "expected_i")
+    return rounded(N.morans_i(_measures(spark, sf_dir), N.knn_weights(points(spark, sf_dir))).drop("z"), "i", "expected_i")
 
 
-@R.query(f"WITH {MORAN} SELECT scope, feature FROM i WHERE i >= 0.05")
+@R.query(f"WITH {MORAN} SELECT scope, feature, round(CASE WHEN var > 1e-15 THEN (i - expected_i) / sqrt(var) END, 5) AS z FROM i")
+def morans_z(spark, sf_dir):
+    """How far each autocorrelation lies from its expected value, in standard deviations."""
+    return rounded(N.morans_i(_measures(spark, sf_dir), N.knn_weights(points(spark, sf_dir))).select("scope", "feature", "z"), "z", digits=5)
+
+
+@R.query()
+def morans_significance(spark, sf_dir):
+    """The same with the two-sided p of a normal z and its false discovery rate within each sample."""
+    found = N.morans_i(_measures(spark, sf_dir), N.knn_weights(points(spark, sf_dir)))
+    return adjust(found.withColumn("p", normal_p(F.col("z"))), "p", "scope")
+
+
+COHERENT = f"""{MORAN}, k AS (SELECT scope, feature FROM i WHERE i >= 0.05 AND var > 1e-15 AND (i - expected_i) / sqrt(var) > 1.6448536),
+    vr AS (SELECT scope, feature, sum(z * z) / count(*) AS v FROM z WHERE scope NOT IN (SELECT scope FROM k) GROUP BY ALL), most AS (SELECT scope, feature FROM vr QUALIFY row_number() OVER (PARTITION BY scope ORDER BY v DESC, feature) = 1)"""
+
+
+@R.query(f"WITH {COHERENT} SELECT *, 'coherent' AS why FROM k UNION ALL SELECT *, 'variance' FROM most")
 def coherent_features(spark, sf_dir):
-    """Features whose autocorrelation reaches a threshold, by sample."""
-    return N.morans_i(_measures(spark, sf_dir), N.knn_weights(points(spark, sf_dir))).where("i >= 0.05").select("scope", "feature")
+    """Features of each sample whose autocorrelation reaches a threshold and isn't chance (one-sided p below 0.05); for a
+    sample without any the feature of the largest variance."""
+    values = materialize(_measures(spark, sf_dir))
+    found = N.morans_i(values, N.knn_weights(points(spark, sf_dir)))
+    kept = materialize(found.where("i >= 0.05 and z > 1.6448536").select("scope", "feature", F.lit("coherent").alias("why")))
+    spread = values.where("value is not null").groupBy("scope", "feature").agg(F.var_pop("value").alias("v")).join(kept.select("scope").distinct(), "scope", "left_anti")
+    most = spread.groupBy("scope").agg(F.min_by("feature", F.struct((-F.col("v")).alias("v"), "feature")).alias("feature")).select("scope", "feature", F.lit("variance").alias("why"))
+    return kept.unionByName(most)
 
 
 TR = "t AS (SELECT transform_id, matrix[1][1] AS a, matrix[1][2] AS b, matrix[1][3] AS tx, matrix[2][1] AS c, matrix[2][2] AS d, matrix[2][3] AS ty FROM (SELECT DISTINCT ON (transform_id) * FROM qupath_transforms WHERE matrix IS NOT NULL))"

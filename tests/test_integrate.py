@@ -28,9 +28,11 @@ def test_matched_correlation(spark):
 
 def test_warp_has_no_holes(spark):
     pixels = spark.createDataFrame([("s", x, y, float(10 * x + y)) for x in range(4) for y in range(4)], "scope string, px long, py long, value double")
-    double = F.lit([[2.0, 0.0, 1.0], [0.0, 2.0, 0.0]])
-    got = {(r.px, r.py): r.value for r in I.warp_raster(pixels, double, 9, 8).collect()}
+    double = spark.createDataFrame([("s", [[2.0, 0.0, 1.0], [0.0, 2.0, 0.0]]), ("t", None)], "scope string, matrix array<array<double>>")
+    got = {(r.px, r.py): r.value for r in I.warp_raster(pixels, double, 9, 8, bilinear=False).collect()}
     assert got[1, 0] == 0.0 and got[3, 2] == 11.0 and got[7, 6] == 33.0 and (0, 0) in got and len(got) >= 49
+    smooth = {(r.px, r.py): r.value for r in I.warp_raster(pixels, double, 9, 8).collect()}
+    assert smooth[3, 2] == 11.0 and smooth[4, 2] == 16.0 and smooth[4, 3] == 16.5 and smooth[8, 0] == 15.0
 
 
 def test_agreement_stretch_and_small_ones(spark):

@@ -62,4 +62,5 @@ def test_composition(spark):
     df = spark.createDataFrame([("s", "d", "x"), ("s", "d", "x"), ("s", "d", "y"), ("s", "d", None), (None, "d", "x")], "s string, d string, p string")
     counts = S.composition(df, "s", "d", "p")
     assert {(r.p, r.n, round(r.proportion, 3)) for r in counts.collect()} == {("x", 2, 0.667), ("y", 1, 0.333)}
-    assert S.composition_wide(counts, "s", "d", "p", ["x", "z"]).first().z == 0.0
+    more = S.composition(df.unionByName(spark.createDataFrame([("t", "d", "z")], df.schema)), "s", "d", "p")
+    assert {r.s: (round(r.x, 3), r.z) for r in S.composition_wide(more, "s", "d", "p").collect()} == {"s": (0.667, 0.0), "t": (0.0, 1.0)}
