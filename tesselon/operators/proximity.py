@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -238,19 +237,28 @@ def cover_regions(regions: DataFrame, region_id: str, scope: str, rings: str) ->
     null or non-finite corners are left out of a ring.
     """
     rows = regions.select(F.col(f"`{scope}`").alias("scope"), F.col(f"`{region_id}`").cast("long").alias("region_id"), F.col(f"`{rings}`").alias("rings")).where("scope is not null and region_id is not null and rings is not null")
-    return rows.mapInPandas(_covers, COVER)
+    return rows.mapInArrow(_covers, COVER)
 
 
-def _covers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        out = []
-        for scope, region, raw in frame[["scope", "region_id", "rings"]].itertuples(index=False):
+def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found: list[tuple] = []
+        owner: list[np.ndarray] = []
+        for row, raw in enumerate(batch.column("rings").to_pylist()):
             rings = [r for r in (_ring(x) for x in raw) if r is not None] if len(raw) and _ring(raw[0]) is not None else []
-            if not rings or len(np.unique(rings[0], axis=0)) < 3:
-                continue
-            for side, cx, cy, at, parts in _cells(rings):
-                out.append((scope, side, cx, cy, parts is None, region, at, parts))
-        yield pd.DataFrame(out, columns=["scope", "side", "cx", "cy", "inner", "region_id", "at", "rings"])
+            if rings and len(np.unique(rings[0], axis=0)) >= 3:
+                for part in _cells(rings):
+                    found.append(part)
+                    owner.append(np.full(len(part[0]), row))
+        if found:
+            side, cx, cy, inner, at, n_rings, inside, n_edges, edges = (np.concatenate(x) for x in zip(*found))
+            offsets = lambda n: pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+            pairs = lambda v, k: pa.ListArray.from_arrays(pa.array(np.arange(0, v.size + 1, k, dtype=np.int32)), pa.array(v.ravel()))
+            of_ring = pa.ListArray.from_arrays(offsets(n_edges), pairs(edges, 4))
+            parts = pa.StructArray.from_arrays([pa.array(inside), of_ring], names=["inside", "edges"])
+            own = pa.array(np.concatenate(owner))
+            columns = [batch.column("scope").take(own), pa.array(side), pa.array(cx), pa.array(cy), pa.array(inner), batch.column("region_id").take(own), pairs(at, 2), pa.ListArray.from_arrays(offsets(n_rings), parts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["scope", "side", "cx", "cy", "inner", "region_id", "at", "rings"])
 
 
 def _ring(raw) -> np.ndarray | None:
@@ -265,80 +273,85 @@ def _ring(raw) -> np.ndarray | None:
     return ring if (ring[0] == ring[-1]).all() and len(ring) > 1 else np.vstack([ring, ring[:1]])
 
 
-def _cells(rings: list[np.ndarray]) -> Iterator[tuple[float, int, int, list | None, list | None]]:
+def _cells(rings: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Cells of a region, some at a time: ``side, cx, cy, inner, at``, the number of rings each has, and of these rings, in
+    order, ``inside`` and the number of edges, and the edges."""
     low, high = rings[0].min(0), rings[0].max(0)
     side = 4.0 ** np.ceil(np.log(max((high - low).max(), 1e-6) / 8) / np.log(4))
     a = np.vstack([r[:-1] for r in rings])
     b = np.vstack([r[1:] for r in rings])
     ring = np.repeat(np.arange(len(rings)), [len(r) - 1 for r in rings])
     lo, hi = np.floor(low / side).astype(np.int64), np.floor(high / side).astype(np.int64)
-    # cells with the edges that may touch them; the first level has all
     gx, gy = (g.ravel() for g in np.meshgrid(np.arange(lo[0], hi[0] + 1), np.arange(lo[1], hi[1] + 1)))
-    todo = [(int(i), int(j), np.arange(len(a))) for i, j in zip(gx, gy)]
+    off = np.arange(4)
+    ox, oy = (o.ravel() for o in np.meshgrid(off, off))
     for level in range(CUTS + 1):
-        cut = []
-        for i, j, edges in todo:
-            edges = edges[_touch(a[edges], b[edges], np.array([i * side]), np.array([j * side]), side, each=True)]
-            if not len(edges):
-                if _odd(a, b, np.array([(i + 0.5) * side]), np.array([(j + 0.5) * side]), rings)[0]:
-                    yield side, i, j, None, None
-            elif level == 0 or (len(edges) > EDGES and level < CUTS):
-                cut += [(4 * i + p, 4 * j + q, edges) for p in range(4) for q in range(4)]
-            else:
-                yield from _border(a, b, ring, edges, rings, side, i, j)
-        todo, side = cut, side / 4
-
-
-def _border(a: np.ndarray, b: np.ndarray, ring: np.ndarray, edges: np.ndarray, rings: list[np.ndarray], side: float, i: int, j: int) -> Iterator[tuple]:
-    # a point of the cell on no line through a corner, so that no corner has one of its coordinates
-    share = 0.381966
+        if not len(gx):
+            return
+        cut_x, cut_y = [], []
+        at_once = max(1, 2_000_000 // len(a))
+        for k in range(0, len(gx), at_once):
+            cx, cy = gx[k : k + at_once], gy[k : k + at_once]
+            met = _touch(a, b, cx * side, cy * side, side)
+            count = met.sum(1)
+            free = np.flatnonzero(count == 0)
+            within = free[_odd(a, b, (cx[free] + 0.5) * side, (cy[free] + 0.5) * side, ring, len(rings))]
+            if len(within):
+                none = np.zeros(len(within), np.int64)
+                yield np.full(len(within), side), cx[within], cy[within], np.ones(len(within), bool), np.zeros((len(within), 2)), none, np.empty(0, bool), none[:0], np.empty((0, 4))
+            cut = (count > 0) if level == 0 else (count > EDGES) if level < CUTS else np.zeros(len(cx), bool)
+            cut_x.append((cx[cut, None] * 4 + ox).ravel())
+            cut_y.append((cy[cut, None] * 4 + oy).ravel())
+            edge = np.flatnonzero((count > 0) & ~cut)
+            if len(edge):
+                yield _border(a, b, ring, len(rings), met[edge], side, cx[edge], cy[edge])
+        gx, gy, side = np.concatenate(cut_x), np.concatenate(cut_y), side / 4
+
+
+def _border(a: np.ndarray, b: np.ndarray, ring: np.ndarray, n_rings: int, met: np.ndarray, side: float, cx: np.ndarray, cy: np.ndarray) -> tuple[np.ndarray, ...]:
+    # a point of each cell that shares no coordinate with a corner and lies on no edge of the cell
+    at = np.empty((len(cx), 2))
+    left, share = np.arange(len(cx)), 0.381966
     for _ in range(20):
-        at = np.array([(i + share) * side, (j + share * 0.91) * side])
-        if not ((a[edges] == at) | (b[edges] == at)).any() and (_turn(a[edges], b[edges], at[0], at[1]) != 0).all():
+        at[left, 0], at[left, 1] = (cx[left] + share) * side, (cy[left] + share * 0.91) * side
+        x, y = at[left, :1], at[left, 1:]
+        bad = (a[:, 0] == x) | (b[:, 0] == x) | (a[:, 1] == y) | (b[:, 1] == y) | ((b[:, 0] - a[:, 0]) * (y - a[:, 1]) == (b[:, 1] - a[:, 1]) * (x - a[:, 0]))
+        left = left[(bad & met[left]).any(1)]
+        if not len(left):
             break
         share = share * 0.83 + 0.01
-    parts = []
-    for k in range(len(rings)):
-        own = edges[ring[edges] == k]
-        inside = bool(_odd(rings[k][:-1], rings[k][1:], at[:1], at[1:], rings[k : k + 1])[0])
-        if k and not len(own):
-            if inside:
-                return  # all of the cell lies in a hole
-            continue
-        if not k and not len(own) and not inside:
-            return  # only a hole outside of the outline touches the cell
-        parts.append((inside, np.hstack([a[own], b[own]]).tolist()))
-    yield side, i, j, at.tolist(), parts
-
-
-def _turn(a: np.ndarray, b: np.ndarray, x, y) -> np.ndarray:
-    return (b[:, 0] - a[:, 0]) * (y - a[:, 1]) - (b[:, 1] - a[:, 1]) * (x - a[:, 0])
-
-
-def _touch(a: np.ndarray, b: np.ndarray, x0: np.ndarray, y0: np.ndarray, side: float, each: bool = False) -> np.ndarray:
-    """Whether any segment a-b meets the closed square of each corner x0, y0 (separating axes); with ``each``, which
-    segments meet the one square given."""
+    inside = _crossings(a, b, at[:, 0], at[:, 1], ring, n_rings)
+    touches = np.stack([met[:, ring == k].any(1) for k in range(n_rings)], axis=1)
+    # a cell in a hole that doesn't touch it, or outside of an outline that doesn't, holds nothing
+    kept = ~(inside & ~touches)[:, 1:].any(1) & (touches[:, 0] | inside[:, 0])
+    met, inside, touches, at, cx, cy = met[kept], inside[kept], touches[kept], at[kept], cx[kept], cy[kept]
+    touches[:, 0] = True
+    n_edges = np.stack([met[:, ring == k].sum(1) for k in range(n_rings)], axis=1)
+    edges = np.nonzero(met)[1]  # by cell and, since edges come ring by ring, by ring
+    return np.full(len(cx), side), cx, cy, np.zeros(len(cx), bool), at, touches.sum(1), inside[touches], n_edges[touches], np.hstack([a[edges], b[edges]])
+
+
+def _touch(a: np.ndarray, b: np.ndarray, x0: np.ndarray, y0: np.ndarray, side: float) -> np.ndarray:
+    """Which segments a-b meet the closed square of each corner x0, y0 (separating axes): a row for each square."""
     x0, y0 = x0[:, None], y0[:, None]
     apart = (np.maximum(a[:, 0], b[:, 0]) < x0) | (np.minimum(a[:, 0], b[:, 0]) > x0 + side) | (np.maximum(a[:, 1], b[:, 1]) < y0) | (np.minimum(a[:, 1], b[:, 1]) > y0 + side)
     d = b - a
     corners = [d[:, 0] * (y - a[:, 1]) - d[:, 1] * (x - a[:, 0]) for x in (x0, x0 + side) for y in (y0, y0 + side)]
     one_side = np.logical_and.reduce([c > 0 for c in corners]) | np.logical_and.reduce([c < 0 for c in corners])
-    met = ~(apart | one_side)
-    return met[0] if each else met.any(1)
-
-
-def _odd(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
-    """Inside the outline and inside no hole, by crossings of each ring, for points off every border."""
-    result, at = np.ones(len(x), bool), 0
-    for k, ring in enumerate(rings):
-        n = len(ring) - 1
-        p, q = a[at : at + n], b[at : at + n]
-        at += n
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cross = ((p[:, 1] > y[:, None]) != (q[:, 1] > y[:, None])) & (x[:, None] < (q[:, 0] - p[:, 0]) * (y[:, None] - p[:, 1]) / (q[:, 1] - p[:, 1]) + p[:, 0])
-        odd = cross.sum(1) % 2 == 1
-        result &= odd if k == 0 else ~odd
-    return result
+    return ~(apart | one_side)
+
+
+def _crossings(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, ring: np.ndarray, n_rings: int) -> np.ndarray:
+    """Whether each point off every border is inside of each ring, by crossings: a row for each point."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cross = ((a[:, 1] > y[:, None]) != (b[:, 1] > y[:, None])) & (x[:, None] < (b[:, 0] - a[:, 0]) * (y[:, None] - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0])
+    return np.stack([cross[:, ring == k].sum(1) % 2 == 1 for k in range(n_rings)], axis=1)
+
+
+def _odd(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, ring: np.ndarray, n_rings: int) -> np.ndarray:
+    """Inside the outline and inside no hole, for points off every border."""
+    inside = _crossings(a, b, x, y, ring, n_rings)
+    return inside[:, 0] & ~inside[:, 1:].any(1)
 
 
 def strictly_inside(rings, x, y):
