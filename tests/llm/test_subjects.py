@@ -85,3 +85,11 @@ def test_rarity_is_that_of_all_documents(spark):
     hits = spark.createDataFrame([(k, 2, [[0], [0, 1]] if k < 3 else [[1]]) for k in range(50)], "id long, n int, lines array<array<int>>")
     rare, common, absent = S.rarities(hits, 3)
     assert 0.05 <= common < rare < absent == 1.0
+
+
+def test_plain_texts_are_cut_alike():
+    rnd = random.Random(8)
+    for _ in range(300):
+        text = "".join(rnd.choice(["It's ", "a", "B", "o'clock", ". ", ".", "!", "?X", "\n", " - ", "7", "'", "_", "ok.Then", "\t"]) for _ in range(40))
+        assert S.sentences(text) == [s for s in S._SENTENCE.split(text) if s and not s.isspace()]
+        assert S.normal(text) == " " + " ".join(S._WORD.findall(text.lower())) + " "
