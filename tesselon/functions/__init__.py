@@ -1,16 +1 @@
-"""Column functions in one place: keys, names, fingerprints, geometry, statistics, classes."""
-
-from tesselon.operators.audit import fingerprint, numeric_part, readiness, safe_name, sample_and_chip
-from tesselon.operators.geometry import (
-    apply_affine, bounding_box, by_angle, close_ring, compose_affine, invert_affine, mm_to_px, open_ring, oriented, signed_area, vertex_centroid, warp_rings,
-)
-from tesselon.operators.masks import classify, roi_priority
-from tesselon.operators.nearest import quality_class
-from tesselon.operators.proximity import strictly_inside
-from tesselon.operators.references import normalize_key
-from tesselon.operators.stats import fold_change, normal_p, pearson, t_p
-
-__all__ = [
-    "apply_affine", "bounding_box", "by_angle", "classify", "close_ring", "compose_affine", "fingerprint", "fold_change", "invert_affine", "mm_to_px", "normal_p", "normalize_key", "numeric_part",
-    "open_ring", "oriented", "pearson", "quality_class", "readiness", "roi_priority", "safe_name", "sample_and_chip", "signed_area", "strictly_inside", "t_p", "vertex_centroid", "warp_rings",
-]
+"""Functions on columns."""

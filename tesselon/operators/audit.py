@@ -25,11 +25,13 @@ def fingerprint(content: Column) -> Column:
     return F.coalesce(F.substring(F.sha2(F.when(size > 2 * MIB, ends).otherwise(content), 256), 1, 16), F.lit("MISSING"))
 
 
-def file_listing(spark, path: str, pattern: str = "*") -> DataFrame:
-    """``path, name, stem, size, hash`` of the files below a folder that match the pattern."""
+def file_listing(spark, path: str, pattern: str = "*", hashed: bool = False) -> DataFrame:
+    """``path, name, stem, size`` of the files below a folder that match the pattern, without reading them; with
+    ``hashed`` also their ``hash``, for which each is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
     name = F.element_at(F.split("path", "/"), -1)
-    return files.select("path", name.alias("name"), F.regexp_replace(name, r"(\.ome)?\.[^.]+$", "").alias("stem"), F.col("length").alias("size"), fingerprint(F.col("content")).alias("hash"))
+    wanted = ["path", name.alias("name"), F.regexp_replace(name, r"(\.ome)?\.[^.]+$", "").alias("stem"), F.col("length").alias("size")]
+    return files.select(*wanted, *([fingerprint(F.col("content")).alias("hash")] if hashed else []))
 
 
 def verify_manifest(manifest: DataFrame, current: DataFrame) -> DataFrame:

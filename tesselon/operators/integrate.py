@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesselon.operators.geometry import apply_affine, bounding_box, invert_affine
+from tesselon.functions.geometry import apply_affine, bounding_box, invert_affine
 from tesselon.operators.quantiles import quantiles
 from tesselon.operators.stats import pearson
 from tesselon.session import small

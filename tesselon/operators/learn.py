@@ -33,6 +33,23 @@ def principal_components(df: DataFrame, record_id: str, vector: str, k: int) ->
     return model.transform(centred).select("id", vector_to_array("scores").alias("scores")), df.sparkSession.createDataFrame(ratios, "component int, ratio double")
 
 
+def covariance(df: DataFrame, vector: str, width: int) -> DataFrame:
+    """``i, j, covariance`` (population) of the first ``width`` positions, i <= j; one aggregate over the rows, no pairs of
+    features as rows. Rows without a value at a position don't count for its pairs; null vectors count for none."""
+    at = lambda k: F.nullif(F.get(F.col(f"`{vector}`"), F.lit(k)).cast("double"), F.lit(float("nan")))
+    pairs = [(i, j) for i in range(width) for j in range(i, width)]
+    wide = df.agg(*[F.covar_pop(at(i), at(j)).alias(f"c{i}_{j}") for i, j in pairs])
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"c{i}_{j}").alias("covariance")) for i, j in pairs])).alias("p")).select("p.*")
+
+
+def component_scores(df: DataFrame, record_id: str, vector: str, top: int = 10) -> DataFrame:
+    """``id, score``: one value for each record, its ``top`` components weighted by their share of the variance."""
+    scores, ratios = principal_components(df, record_id, vector, top)
+    share = [r["ratio"] for r in ratios.orderBy("component").collect()]
+    weights = F.array(*[F.lit(w / (sum(share) or 1.0)) for w in share])
+    return scores.select("id", F.aggregate(F.zip_with("scores", weights, lambda s, w: s * w), F.lit(0.0), lambda a, x: a + x).alias("score"))
+
+
 def neighbour_means(long: DataFrame, weights: DataFrame) -> DataFrame:
     """``obs, feature, around``: each feature's weighted mean over an observation's neighbours (src, dst, w)."""
     moved = weights.join(long.select(F.col("obs").alias("dst"), "feature", "value"), "dst").where("value is not null")

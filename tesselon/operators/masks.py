@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tesselon.operators.geometry import close_ring
+from tesselon.functions.geometry import close_ring
 from tesselon.operators.learn import connected
 from tesselon.operators.quantiles import quantiles
 from tesselon.session import clean, materialize, small

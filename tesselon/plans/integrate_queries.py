@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesselon.operators import geometry as G
+from tesselon.functions import geometry as G
 from tesselon.operators import integrate as I
 from tesselon.operators import matrix as M
 from tesselon.operators import nearest as N
+from tesselon.operators.quantiles import quantiles
 from tesselon.plans.matrix_queries import rounded
 from tesselon.plans.registry import Registry
 from tesselon.plans.spatial_queries import NN, PTS, points
@@ -89,7 +90,7 @@ def source_comparison(spark, sf_dir):
     p = materialize(points(spark, sf_dir))
     even, odd = p.where("id % 2 = 0"), p.where("id % 2 = 1")
     counts = p.groupBy("scope").agg(F.count_if(F.col("id") % 2 == 0).alias("n_a"), F.count_if(F.col("id") % 2 == 1).alias("n_b"))
-    found = N.nearest(even, odd).join(even.select(F.col("id").alias("left_id"), "scope"), "left_id").groupBy("scope").agg(F.percentile("dist", F.lit(0.5)).alias("median"))
+    found = quantiles(materialize(N.nearest(even, odd).join(even.select(F.col("id").alias("left_id"), "scope"), "left_id")), ["scope"], median=("dist", 0.5))
     return rounded(counts.join(found, "scope").withColumn("advice", I.recommend(F.col("n_a"), F.col("n_b"), F.col("median"))), "median")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tesselon.operators import geometry as G
+from tesselon.functions import geometry as G
 from tesselon.operators import learn as L
 from tesselon.operators import nearest as N
 from tesselon.plans.matrix_queries import expressed, rounded

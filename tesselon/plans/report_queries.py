@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tesselon.operators import audit as A
-from tesselon.operators import geometry as G
+from tesselon.functions import geometry as G
 from tesselon.operators import integrate as I
 from tesselon.operators import learn as L
 from tesselon.operators import masks as K
 from tesselon.operators import nearest as N
 from tesselon.operators import stats as S
 from tesselon.operators import tables as T
+from tesselon.operators.density import smooth
 from tesselon.operators.proximity import cover_regions, inside_regions
 from tesselon.plans.mask_queries import CELL_IN, EDGES, RASTER, _mask
 from tesselon.plans.matrix_queries import C, expressed, rounded
 from tesselon.plans.registry import Registry
-from tesselon.plans.spatial_queries import D2, KNN, PTS, points
+from tesselon.plans.spatial_queries import BINS, D2, KNN, PTS, points
+from tesselon.plans.spatial_queries import density_bins as binned
 from tesselon.session import clean, materialize, table
 
 R = Registry()
@@ -317,3 +319,20 @@ def method_comparison(spark, sf_dir):
     best = means.groupBy("sample_id").agg(F.min("d").alias("least"))
     out = means.join(best, "sample_id").groupBy("registration_method").agg(F.count("d").alias("n_samples"), F.avg("d").alias("mean_distance"), F.avg(F.col("d") - F.col("least")).alias("mean_excess"), F.count_if(F.col("d") == F.col("least")).alias("n_best"))
     return rounded(out, "mean_distance", "mean_excess")
+
+
+@R.query(f"""WITH {BINS}, r AS (SELECT d, exp(-d * d / 2.0) AS w FROM (SELECT unnest([-2, -1, 0, 1, 2]) AS d)), k AS (SELECT d, w / (SELECT sum(w) FROM r) AS w FROM r)
+    SELECT scope, b.bx + i.d AS bx, b.by + j.d AS by, round(sum(weight * i.w * j.w), 5) AS weight FROM b, k i, k j GROUP BY ALL""")
+def smoothed_bins(spark, sf_dir):
+    """Density bins under a Gaussian of one bin."""
+    return rounded(smooth(binned(spark, sf_dir), 1.0, 2.0), "weight", digits=5)
+
+
+@R.query(f"""WITH {C}, m AS (SELECT feature, avg(value) AS m FROM c WHERE feature < 'f06' GROUP BY ALL), z AS (SELECT obs, feature, value - m AS z FROM c JOIN m USING (feature))
+    SELECT a.feature AS one, b.feature AS two, round(sum(a.z * b.z) / count(*), 6) + 0 AS covariance FROM z a JOIN z b ON a.obs = b.obs AND a.feature <= b.feature GROUP BY ALL""")
+def feature_covariance(spark, sf_dir):
+    """Covariances of the first six features, what components are made from."""
+    rows = table(spark, sf_dir, "integrated_cells").where("x is not null").select("cell_uid", "x").dropDuplicates(["cell_uid"])
+    found = L.covariance(rows, "x", 6)
+    name = lambda c: F.format_string("f%02d", F.col(c))
+    return found.select(name("i").alias("one"), name("j").alias("two"), (F.round("covariance", 6) + 0.0).alias("covariance"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tesselon.operators.audit import safe_name
-from tesselon.operators.geometry import invert_affine
+from tesselon.functions.geometry import invert_affine
 from tesselon.operators.matrix import merge_channels
 
 

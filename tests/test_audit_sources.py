@@ -25,7 +25,7 @@ def test_fingerprint(spark, tmp_path):
     small, big = b"abc", bytes(range(256)) * 10_000
     (tmp_path / "a.bin").write_bytes(small)
     (tmp_path / "b.ome.tif").write_bytes(big)
-    got = {r.name: (r.stem, r["size"], r.hash) for r in A.file_listing(spark, str(tmp_path)).collect()}
+    got = {r.name: (r.stem, r["size"], r.hash) for r in A.file_listing(spark, str(tmp_path), hashed=True).collect()}
     mib = 1024 * 1024
     ends = hashlib.sha256(big[:mib] + big[-mib:] + str(len(big)).encode()).hexdigest()[:16]
     assert got == {"a.bin": ("a", 3, hashlib.sha256(small).hexdigest()[:16]), "b.ome.tif": ("b", len(big), ends)}

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tesselon.operators import geometry as G
+from tesselon.functions import geometry as G
 from tesselon.operators import learn as L
 from tesselon.operators import masks as K
 from tesselon.operators import nearest as N

@@ -96,8 +96,31 @@ def test_communities_end_where_no_node_gains(spark):
         assert votes.get(labels[node], 0) >= max(votes.values()) - 1e-8
 
 
-def test_windowed_counts_and_repair(spark, sf_dir, tmp_path):
-    from tesselon.operators.geometry import largest_ring, repaired
+def test_windowed_counts(spark, tmp_path):
+    from tesselon.streaming.ingest import windowed_counts
+
+    for n, rows in enumerate(([("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 00:30:00")], [("a", "2024-01-01 05:00:00")], [("a", "2024-01-01 00:15:00"), ("a", "2024-01-01 06:30:00")])):
+        spark.createDataFrame(rows, "k string, t string").select("k", F.to_timestamp("t").alias("t")).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("k string, t timestamp").parquet(str(tmp_path / "in"))
+        query = windowed_counts(stream, "t", "k").writeStream.format("parquet").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "out")).start()
+        query.awaitTermination()
+    got = {(r.k, r.since.hour): r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("a", 0): 2, ("b", 0): 1, ("a", 5): 1}  # the late row is dropped, the last window is still open
+
+
+def test_components_and_silhouette(spark):
+    rnd = random.Random(2)
+    rows = [(k, [10.0 * (k % 2) + rnd.random(), rnd.random()], k % 2) for k in range(60)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    assert L.silhouette(df, "v", "label") > 0.95
+    scores = {r.id: r.score for r in L.component_scores(df, "id", "v", 2).collect()}
+    assert len({scores[k] > 0 for k in range(0, 60, 2)}) == 1 and (scores[0] > 0) != (scores[1] > 0)
+    x = np.array([r[1] for r in rows])
+    assert {(r.i, r.j): r.covariance for r in L.covariance(df, "v", 2).collect()} == {(i, j): pytest.approx(np.cov(x.T, bias=True)[i, j]) for i, j in ((0, 0), (0, 1), (1, 1))}
+
+
+def test_repair(spark):
+    from tesselon.functions.geometry import largest_ring, repaired
 
     ring = [[0.0, 0.0], [0.0, 0.0], None, [float("nan"), 1.0], [4.0, 0.0], [4.0, 4.0]]
     df = spark.createDataFrame([(ring, [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0]], [[0.0, 0.0], [4.0, 0.0], [4.0, 4.0]]]), ([[0.0, 0.0], [1.0, 1.0], [2.0, 2.0]], [])], "r array<array<double>>, m array<array<array<double>>>")
