@@ -59,7 +59,6 @@ _WORD = regex.compile(r"[\p{Han}々]+|[\p{Katakana}ー]+|[\p{Hiragana}]+|[\p{L}\
 #: The same for texts of ASCII characters only, which the plain engine matches faster.
 _PLAIN_SENTENCE = re.compile(r"(?<=[.!?])\s+|[\n\r]+|(?<=[a-z][.!?])(?=[A-Z])")
 _PLAIN_WORD = re.compile(r"[a-z]+(?:'[a-z]+)?")
-_CJK = regex.compile(r"[\p{Han}\p{Katakana}\p{Hiragana}ー々]")
 _HIRAGANA = regex.compile(r"^\p{Hiragana}+$")
 
 
