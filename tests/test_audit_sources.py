@@ -1,6 +1,7 @@
 import hashlib
 import json
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tesselon.operators import audit as A
 from tesselon.sources import layouts
-from tesselon.sources.tiff import TiffPixels
+from tesselon.sources import tiff as tiff_source
+from tesselon.sources.tiff import TiffPages, TiffPixels
 from tesselon.streaming.ingest import ingest_available
 
 
@@ -116,6 +118,87 @@ def test_tiff_source(spark, tmp_path):
     assert spark.read.format("tiff_pixels").load(str(tmp_path / "none*.tif")).count() == 0
 
 
+def lzw(data):
+    """Plain encoder: growing table, cleared when full."""
+    def start():
+        return {bytes([k]): k for k in range(256)}, 258
+
+    table, free = start()
+    bits, word = format(256, "09b"), b""
+    width = lambda: 9 if free < 512 else 10 if free < 1024 else 11 if free < 2048 else 12
+    for k in range(len(data)):
+        if word + data[k : k + 1] in table:
+            word += data[k : k + 1]
+            continue
+        bits += format(table[word], f"0{width()}b")
+        table[word + data[k : k + 1]], free, word = free, free + 1, data[k : k + 1]
+        if free == 4094:
+            bits += format(table[word], f"0{width()}b") + format(256, "012b")
+            (table, free), word = start(), b""
+    if word:
+        bits += format(table[word], f"0{width()}b")
+        free += 1
+    bits += format(257, f"0{width()}b")
+    bits += "0" * (-len(bits) % 8)
+    return int(bits, 2).to_bytes(len(bits) // 8, "big")
+
+
+def big_tiled(page, side, compression):
+    """A BigTIFF of one page of 32-bit pixels in tiles, with differences along the lines."""
+    out, offsets, sizes = bytearray(b"II+\0" + struct.pack("<HHQ", 8, 0, 0)), [], []
+    h, w = page.shape
+    padded = np.zeros((-(-h // side) * side, -(-w // side) * side), "<u4")
+    padded[:h, :w] = page
+    for y in range(0, h, side):
+        for x in range(0, w, side):
+            t = padded[y : y + side, x : x + side]
+            raw = np.diff(t, axis=1, prepend=np.zeros((side, 1), "<u4")).astype("<u4").tobytes()
+            raw = zlib.compress(raw) if compression == 8 else lzw(raw)
+            offsets.append(len(out))
+            sizes.append(len(raw))
+            out += raw
+    n = len(offsets)
+    lists = len(out)
+    out += struct.pack(f"<{n}Q{n}Q", *offsets, *sizes) + b"mask\0"
+    at = len(out)
+    tags = [(256, 4, 1, w), (257, 4, 1, h), (258, 3, 1, 32), (259, 3, 1, compression), (270, 2, 5, int.from_bytes(b"mask\0", "little")), (277, 3, 1, 1), (317, 3, 1, 2), (322, 4, 1, side), (323, 4, 1, side), (324, 16, n, lists), (325, 16, n, lists + 8 * n)]
+    out += struct.pack("<Q", len(tags)) + b"".join(struct.pack("<HHQQ", *t) for t in tags) + struct.pack("<Q", 0)
+    out[8:16] = struct.pack("<Q", at)
+    return bytes(out)
+
+
+@pytest.mark.parametrize("compression", [8, 5])
+def test_big_tiled_tiff(spark, tmp_path, compression):
+    page = np.random.default_rng(1).integers(0, 4, (70, 90)) * 70_001
+    page[10:40, 10:80] = 5
+    (tmp_path / "m.tif").write_bytes(big_tiled(page, 32, compression))
+    spark.dataSource.register(TiffPixels)
+    spark.dataSource.register(TiffPages)
+    read = spark.read.format("tiff_pixels")
+    assert {(r.x, r.y): r.value for r in read.load(str(tmp_path / "*.tif")).collect()} == {(x, y): float(v) for (y, x), v in np.ndenumerate(page) if v}
+    part = read.options(x0=30, y0=5, x1=66, y1=33).load(f"file://{tmp_path}/m.tif").collect()
+    assert {(r.x, r.y): r.value for r in part} == {(x, y): float(v) for (y, x), v in np.ndenumerate(page) if v and 30 <= x < 66 and 5 <= y < 33}
+    got = spark.read.format("tiff_pages").load(str(tmp_path / "m.tif")).first()
+    assert (got.width, got.height, got.bits, got.n_blocks, got.tiled, got.big, got.description) == (90, 70, 32, 9, True, True, "mask")
+
+
+def test_lzw_through_full_tables():
+    rng = np.random.default_rng(2)
+    for data in (b"", b"a", b"abab" * 5_000, rng.integers(0, 256, 30_000).astype("u1").tobytes(), rng.integers(0, 3, 60_000).astype("u1").tobytes()):
+        assert tiff_source.unpack_lzw(lzw(data)) == data
+
+
+def test_plain_strips_are_cut_into_lines(tmp_path):
+    (tmp_path / "i.tif").write_bytes(tiff([np.arange(40).reshape(10, 4)], 10))
+    page = tiff_source.pages(str(tmp_path / "i.tif"))[0]
+    before, tiff_source.TASK_BYTES = tiff_source.TASK_BYTES, 24
+    try:
+        cut = list(tiff_source._cut(page.blocks[0], page, 2, 9))
+    finally:
+        tiff_source.TASK_BYTES = before
+    assert [(b.y, b.rows, b.size) for b in cut] == [(2, 3, 24), (5, 3, 24), (8, 1, 8)]
+
+
 def test_ingest_takes_new_files_once(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(5).write.parquet(source)
