@@ -154,12 +154,7 @@ def mask_components(mask: DataFrame) -> DataFrame:
     """``scope, label, component, n_pixels, x0, y0, x1, y1``: connected areas of one label (pixels that share a side) with
     their bounding box. Runs are linked within bands of ``BAND`` lines; only what meets between bands goes through joins.
     ``component`` numbers follow the first run in order of line and start within the scope."""
-    rows = mask.select("scope", "py", "start", "stop", "label", F.floor(F.col("py") / BAND).alias("band"))
-    runs = materialize(rows.groupBy("scope", "band").applyInPandas(_linked, "scope string, py long, start long, stop long, label string, part string"))
-    below = runs.where(F.pmod("py", F.lit(BAND)) == 0).select(F.col("part").alias("b"), "scope", (F.col("py") - 1).alias("py"), "label", F.col("start").alias("s"), F.col("stop").alias("e"))
-    edges = runs.join(below, ["scope", "py", "label"]).where("s < stop and e > start").select(F.col("part").alias("a"), "b").distinct()
-    linked = connected(edges).select(F.col("node").alias("part"), F.col("label").alias("root"))
-    whole = runs.join(linked, "part", "left").withColumn("root", F.coalesce("root", "part"))
+    whole = linked_runs(mask)
     found = whole.groupBy("scope", "label", "root").agg(
         F.sum(F.col("stop") - F.col("start")).alias("n_pixels"), F.min("start").alias("x0"), F.min("py").alias("y0"), F.max("stop").alias("x1"), (F.max("py") + 1).alias("y1"), F.min(F.struct("py", "start")).alias("first")
     )
@@ -167,6 +162,65 @@ def mask_components(mask: DataFrame) -> DataFrame:
     return found.select("scope", "label", F.row_number().over(order).alias("component"), "n_pixels", "x0", "y0", "x1", "y1")
 
 
+def linked_runs(mask: DataFrame) -> DataFrame:
+    """The mask's runs with ``root``, one name for each connected area."""
+    rows = mask.select("scope", "py", "start", "stop", "label", F.floor(F.col("py") / BAND).alias("band"))
+    runs = materialize(rows.groupBy("scope", "band").applyInPandas(_linked, "scope string, py long, start long, stop long, label string, part string"))
+    below = runs.where(F.pmod("py", F.lit(BAND)) == 0).select(F.col("part").alias("b"), "scope", (F.col("py") - 1).alias("py"), "label", F.col("start").alias("s"), F.col("stop").alias("e"))
+    edges = runs.join(below, ["scope", "py", "label"]).where("s < stop and e > start").select(F.col("part").alias("a"), "b").distinct()
+    linked = connected(edges).select(F.col("node").alias("part"), F.col("label").alias("root"))
+    return runs.join(linked, "part", "left").select("scope", "label", "py", "start", "stop", F.coalesce("root", "part").alias("root"))
+
+
+def mask_polygons(mask: DataFrame) -> DataFrame:
+    """``scope, label, root, rings``: each connected area as a polygon along the sides of its pixels, the outline first,
+    holes after it in order of their first corner. Rings are closed and keep corners only; the outline turns with a
+    positive signed area (y down), holes against it. Where pixels of the area meet at a corner alone, a
+    ring goes on with its own pixel. An empty mask gives no rows.
+
+    Sides are found by joins of neighbouring lines, so full lines of pixels never come together; the corners of one
+    polygon, which is one row in any case, are strung together in one group.
+    """
+    runs = materialize(linked_runs(mask))
+    key = ["scope", "label", "root"]
+    upright = runs.select(*key, F.explode(F.array(F.struct(F.col("start").alias("x"), F.lit(-1).alias("d")), F.struct(F.col("stop").alias("x"), F.lit(1).alias("d")))).alias("s"), "py")
+    upright = upright.select(*key, F.col("s.x").alias("x0"), F.when(F.col("s.d") > 0, F.col("py")).otherwise(F.col("py") + 1).alias("y0"), F.col("s.x").alias("x1"), F.when(F.col("s.d") > 0, F.col("py") + 1).otherwise(F.col("py")).alias("y1"))
+    # along y = py a side lies where one of the lines py - 1 and py is covered and the other isn't
+    ends = lambda shift, w: runs.select(*key, (F.col("py") + shift).alias("y"), F.explode(F.array(F.struct(F.col("start").alias("x"), F.lit(w).alias("w")), F.struct(F.col("stop").alias("x"), F.lit(-w).alias("w")))).alias("s"))
+    steps = ends(0, 1).unionByName(ends(1, -1)).groupBy(*key, "y", F.col("s.x").alias("x")).agg(F.sum("s.w").alias("w")).where("w <> 0")
+    line = Window.partitionBy(*key, "y").orderBy("x")
+    level = steps.select(*key, "y", "x", F.sum("w").over(line).alias("side"), F.lead("x").over(line).alias("to")).where("side <> 0")
+    flat = level.select(*key, F.when(F.col("side") > 0, F.col("x")).otherwise(F.col("to")).alias("x0"), F.col("y").alias("y0"), F.when(F.col("side") > 0, F.col("to")).otherwise(F.col("x")).alias("x1"), F.col("y").alias("y1"))
+    return upright.unionByName(flat).groupBy(*key).applyInPandas(_traced, "scope string, label string, root string, rings array<array<array<double>>>")
+
+
+def _traced(sides: pd.DataFrame) -> pd.DataFrame:
+    """Rings from directed sides with the area on their right (y down); at a corner met twice the ring turns towards its
+    own pixel, so that it never crosses itself."""
+    after: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for x0, y0, x1, y1 in sides[["x0", "y0", "x1", "y1"]].sort_values(["y0", "x0", "y1", "x1"]).itertuples(index=False):
+        after.setdefault((x0, y0), []).append((x1, y1))
+    rings: list[list[tuple[int, int]]] = []
+    for start in list(after):
+        while after.get(start):
+            ring, here = [start], after[start].pop()
+            while here != start:
+                ring.append(here)
+                choice = after[here]
+                if len(choice) > 1:
+                    px, py = ring[-2]
+                    dx, dy = here[0] - px, here[1] - py
+                    choice.sort(key=lambda t: dx * (t[1] - here[1]) - dy * (t[0] - here[0]))
+                here = choice.pop()
+            n = len(ring)
+            turns = [ring[k] for k in range(n) if (ring[k - 1][0] == ring[k][0]) != (ring[k][0] == ring[(k + 1) % n][0])]
+            rings.append(turns + turns[:1])
+    area = lambda r: sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:]))
+    rings.sort(key=lambda r: (area(r) < 0, r[0][1], r[0][0]))
+    row = sides.iloc[0]
+    return pd.DataFrame({"scope": [row["scope"]], "label": [row["label"]], "root": [row["root"]], "rings": [[[[float(x), float(y)] for x, y in r] for r in rings]]})
+
+
 def _linked(band: pd.DataFrame) -> pd.DataFrame:
     """Adds ``part``: the same name for runs of a band that hang together."""
     band = band.sort_values(["py", "start"], ignore_index=True)

@@ -271,17 +271,29 @@ def raster_agreement(spark, sf_dir):
     return rounded(I.image_agreement(_grid(spark, sf_dir), two, above=2.0, least=5), "overlap_pct", "ncc")
 
 
-@R.query(f"""WITH RECURSIVE {RASTER}, g AS (SELECT *, px - row_number() OVER (PARTITION BY scope, py, label ORDER BY px) AS run FROM mask),
+AREAS = f"""WITH RECURSIVE {RASTER}, g AS (SELECT *, px - row_number() OVER (PARTITION BY scope, py, label ORDER BY px) AS run FROM mask),
     u AS (SELECT scope, py, min(px)::BIGINT AS s, max(px)::BIGINT + 1 AS e, label FROM g GROUP BY scope, py, label, run), n AS (SELECT *, row_number() OVER (ORDER BY scope, py, s) AS id FROM u),
     l AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.scope = b.scope AND b.py = a.py + 1 AND a.label = b.label AND b.s < a.e AND b.e > a.s), v AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
     x(id, root) AS (SELECT id, id FROM n UNION SELECT v.b, x.root FROM x JOIN v ON v.a = x.id WHERE v.b > x.root), q AS (SELECT id, min(root) AS root FROM x GROUP BY id),
-    k AS (SELECT scope, label, root, sum(e - s)::BIGINT AS n_pixels, min(s) AS x0, min(py)::BIGINT AS y0, max(e) AS x1, max(py)::BIGINT + 1 AS y1 FROM q JOIN n USING (id) GROUP BY ALL)
+    k AS (SELECT scope, label, root, sum(e - s)::BIGINT AS n_pixels, min(s) AS x0, min(py)::BIGINT AS y0, max(e) AS x1, max(py)::BIGINT + 1 AS y1 FROM q JOIN n USING (id) GROUP BY ALL)"""
+
+
+@R.query(f"""{AREAS}
     SELECT scope, label, (row_number() OVER (PARTITION BY scope ORDER BY root))::INT AS component, n_pixels, x0, y0, x1, y1 FROM k""")
 def mask_components(spark, sf_dir):
     """Connected areas of the region mask with their pixels and bounds."""
     return K.mask_components(materialize(_mask(spark, sf_dir)))
 
 
+@R.query(f"{AREAS} SELECT scope, label, n_pixels::DOUBLE AS area, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM k")
+def mask_polygons(spark, sf_dir):
+    """Connected areas of the region mask as polygons: area less holes, and bounds, from their corners."""
+    found = K.mask_polygons(materialize(_mask(spark, sf_dir)))
+    x0, y0, x1, y1 = G.bounding_box(F.get("rings", F.lit(0)))
+    area = F.aggregate("rings", F.lit(0.0), lambda a, r: a + G.signed_area(r))
+    return found.select("scope", "label", area.alias("area"), x0.alias("x0"), y0.alias("y0"), x1.alias("x1"), y1.alias("y1"))
+
+
 @R.query("""WITH l AS (SELECT chip_id, unnest([primary_location, alt_location_1]) AS place, unnest([1, 2]) AS p FROM chip_inventory) SELECT chip_id, arg_min(place, (p, place)) AS place FROM l WHERE place IS NOT NULL AND place <> '' GROUP BY ALL""")
 def best_location(spark, sf_dir):
     """For each chip the first of its locations that is there."""

@@ -66,6 +66,32 @@ def test_connected_and_mask_areas(spark):
     assert [(r.label, r.n_pixels, r.x0, r.y0, r.x1, r.y1) for r in areas] == [("a", 909, 0, 0, 9, 301), ("a", 1, 20, 5, 21, 6), ("b", 1, 21, 5, 22, 6)]
 
 
+def test_mask_polygons_round_trip(spark):
+    rng = np.random.default_rng(3)
+    frames = {f"m{k}": rng.random((24, 17)) < (0.35, 0.6, 0.85)[k] for k in range(3)}
+    frames["ring"] = np.pad(np.ones((3, 3), bool), 1)
+    frames["ring"][2, 2] = False
+    runs = []
+    for scope, frame in frames.items():
+        for y, line in enumerate(np.pad(frame, ((0, 0), (1, 1))).astype(int)):
+            d = np.diff(line)
+            runs += [(scope, y, int(a), int(b), "a") for a, b in zip(np.flatnonzero(d > 0), np.flatnonzero(d < 0))]
+    schema = "scope string, py long, start long, stop long, label string"
+    mask = spark.createDataFrame(runs, schema)
+    found = K.mask_polygons(mask).collect()
+    assert len(found) == K.mask_components(mask).count() and len({r.root for r in found}) == len(found)
+    back = {s: np.zeros(f.shape, int) for s, f in frames.items()}
+    for r in found:
+        rings = [np.array(x) for x in r.rings]
+        areas = [(x[:-1, 0] * x[1:, 1] - x[1:, 0] * x[:-1, 1]).sum() for x in rings]
+        assert areas[0] > 0 and all(a < 0 for a in areas[1:])
+        for y, start, stop in K.region_runs(rings):
+            back[r.scope][y, start:stop] += 1
+    assert all((back[s] == f).all() for s, f in frames.items())
+    assert [len(x) for r in found if r.scope == "ring" for x in r.rings] == [5, 5]
+    assert K.mask_polygons(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_moran_z_and_welch(spark):
     n = 30
     values = spark.createDataFrame([(k, "s", "f", float(k % 10)) for k in range(n)] + [(99, "s", "f", None)], "id long, scope string, feature string, value double")
