@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tesselon.operators.audit import safe_name
 from tesselon.functions.geometry import invert_affine
 from tesselon.operators.matrix import merge_channels
+from tesselon.session import materialize, small
+from tesselon.sources.geojson import RANGE_BYTES, GeojsonFeatures
 
 
 def detect_layout(spark: SparkSession, folder: str, sample: str) -> str:
@@ -42,9 +44,10 @@ def read_pixels(spark: SparkSession, folder: str, sample: str, fill: float = 0.0
 
 
 def write_channels(long: DataFrame, folder: str) -> None:
-    """``sample_id, channel, x, y, value`` partitioned by sample and channel, names made safe."""
+    """``sample_id, channel, x, y, value`` partitioned by sample and channel, names made safe; large channels are split
+    over tasks and files, small ones share them."""
     out = long.withColumns({"sample_id": safe_name(F.col("sample_id")), "channel": safe_name(F.col("channel"))})
-    out.repartition("sample_id", "channel").write.mode("overwrite").partitionBy("sample_id", "channel").parquet(folder)
+    out.hint("rebalance", "sample_id", "channel").write.mode("overwrite").partitionBy("sample_id", "channel").parquet(folder)
 
 
 def write_bundle(folder: str, obs: DataFrame, var: DataFrame, values: DataFrame) -> None:
@@ -57,15 +60,25 @@ def read_bundle(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     return tuple(spark.read.parquet(f"{folder}/{name}") for name in ("obs", "var", "x"))
 
 
-FEATURES = "type string, features array<struct<type:string, id:string, geometry:struct<type:string, coordinates:string>, properties:struct<label:bigint, area_px:bigint, object_index:bigint, object_type:int, classification:struct<name:string>>>>"
+FEATURE = "struct<type:string, id:string, geometry:struct<type:string, coordinates:string>, properties:struct<label:bigint, area_px:bigint, object_index:bigint, object_type:int, classification:struct<name:string>>>"
 
 
-def read_geojson(spark: SparkSession, path: str) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, whole: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row for each polygon: ``feature_id, label, class, rings``; a MultiPolygon gives one row for each part.
 
-    The label is that of the properties or else the object index + 1. Other geometries are left out.
+    The label is that of the properties or else the object index + 1 or the place in the file + 1. Other geometries are
+    left out. Files are read in ranges of bytes; with ``whole`` (for features that don't start with their type) each in
+    one task.
     """
-    rows = spark.read.schema(FEATURES).option("multiLine", "true").json(path).select(F.posexplode("features").alias("place", "f"))
+    if whole:
+        rows = spark.read.schema(f"type string, features array<{FEATURE}>").option("multiLine", "true").json(path).select(F.posexplode("features").alias("place", "f"))
+    else:
+        spark.dataSource.register(GeojsonFeatures)
+        texts = spark.read.format("geojson_features").option("rangeBytes", range_bytes).load(path)
+        sizes = texts.groupBy("path", "part").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.partitionBy("path").orderBy("part")) - F.col("n")  # over one row for each range
+        starts = materialize(sizes.select("path", "part", before.alias("before")))
+        rows = texts.join(small(starts), ["path", "part"]).select((F.col("before") + F.col("place")).alias("place"), F.from_json("feature", FEATURE).alias("f"))
     props = F.col("f.properties")
     polygon, multi = "array<array<array<double>>>", "array<array<array<array<double>>>>"
     parts = F.when(F.col("f.geometry.type") == "Polygon", F.array(F.from_json("f.geometry.coordinates", polygon))).when(F.col("f.geometry.type") == "MultiPolygon", F.from_json("f.geometry.coordinates", multi))

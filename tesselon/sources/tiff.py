@@ -9,17 +9,17 @@ Files are opened where the tasks run, by their path or URI, with random access:
 
 from __future__ import annotations
 
-import fnmatch
 import struct
 import zlib
 from collections.abc import Iterator
-from typing import Any, NamedTuple
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tesselon.sources.files import matching, open_file
+
 PIXELS = "path string, channel int, x int, y int, value double"
 PAGES = "path string, channel int, width int, height int, bits int, compression int, n_blocks int, tiled boolean, big boolean, description string"
 TASK_BYTES = 16 << 20
@@ -69,7 +69,7 @@ class _Source(DataSource):
 
 class _PagesReader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.paths = matching(options["path"])
+        self.paths = [p for p, _ in matching(options["path"])]
 
     def partitions(self) -> list[_Part]:
         return [_Part(p, None, []) for p in self.paths] or [_Part("", None, [])]
@@ -94,7 +94,7 @@ class TiffPages(_Source):
 
 class _PixelsReader(DataSourceReader):
     def __init__(self, options) -> None:
-        self.paths = matching(options["path"])
+        self.paths = [p for p, _ in matching(options["path"])]
         self.above = float(options.get("above", "0"))
         self.only = options.get("channel")
         self.window = tuple(int(options.get(k, d)) for k, d in (("x0", 0), ("y0", 0), ("x1", 1 << 40), ("y1", 1 << 40)))
@@ -127,7 +127,7 @@ class _PixelsReader(DataSourceReader):
         if not part.blocks:
             return
         x0, y0, x1, y1 = self.window
-        with _open(part.path) as file:
+        with open_file(part.path) as file:
             for b in part.blocks:
                 file.seek(b.offset)
                 data = _decode(file.read(b.size), part.page, b)[max(y0 - b.y, 0) : y1 - b.y, max(x0 - b.x, 0) : x1 - b.x]
@@ -159,27 +159,10 @@ class TiffPixels(_Source):
         return PIXELS
 
 
-def _system(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
-def _open(path: str) -> Any:
-    system, inner = _system(path)
-    return system.open_input_file(inner)
-
-
-def matching(pattern: str) -> list[str]:
-    """Files whose name matches; the pattern's folder is taken as written."""
-    folder, _, name = pattern.rpartition("/")
-    system, inner = _system(folder)
-    found = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
-    return sorted(f"{folder}/{f.base_name}" for f in found if f.is_file and fnmatch.fnmatchcase(f.base_name, name))
-
-
 def pages(path: str) -> list[Page]:
     """The pages of a file with their blocks, from the headers alone."""
     out: list[Page] = []
-    with _open(path) as file:
+    with open_file(path) as file:
         head = file.read(16)
         order = {b"II": "<", b"MM": ">"}.get(head[:2])
         magic = struct.unpack(order + "H", head[2:4])[0] if order and len(head) >= 8 else 0

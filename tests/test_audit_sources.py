@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesselon.operators import audit as A
-from tesselon.sources import layouts
+from tesselon.sources import geojson, layouts
 from tesselon.sources import tiff as tiff_source
 from tesselon.sources.tiff import TiffPages, TiffPixels
 from tesselon.streaming.ingest import ingest_available
@@ -71,14 +71,48 @@ def test_geojson_and_transforms(spark, tmp_path):
     (tmp_path / "g.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
     got = sorted((r.feature_id, r.label, r["class"], len(r.rings)) for r in layouts.read_geojson(spark, str(tmp_path / "g.json")).collect())
     assert got == [("1", 4, "Cell", 1), ("1", 4, "Cell", 1), ("a", 7, None, 1)]
+    assert got == sorted((r.feature_id, r.label, r["class"], len(r.rings)) for r in layouts.read_geojson(spark, str(tmp_path / "g.json"), whole=True).collect())
     layouts.write_geojson(layouts.read_geojson(spark, str(tmp_path / "g.json")), str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out")).count() == 3
+    assert spark.read.json(str(tmp_path / "out")).count() == layouts.read_geojson(spark, str(tmp_path / "out")).count() == 3
     body = {"_note": "x", "S1": {"reference": "r", "transforms": {"_c": {}, "he": {"matrix": [[2, 0, 0], [0, 2, 0]]}, "msi": {"matrix": [[1, 0, 5], [0, 1, 6]], "invert": False}, "bad": {"matrix": [[1, 0]]}}}}
     (tmp_path / "t.json").write_text(json.dumps(body))
     got = {r.modality: r.effective for r in layouts.read_transforms(spark, str(tmp_path / "t.json")).collect()}
     assert got["he"][0][0] == 0.5 and got["msi"] == [[1.0, 0.0, 5.0], [0.0, 1.0, 6.0]] and got["bad"] is None
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_geojson_in_ranges(spark, tmp_path, indent, monkeypatch):
+    rng = np.random.default_rng(4)
+    odd = 'a "quoted\\" {brace} é }'
+    feature = lambda k: {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [rng.integers(0, 99, (int(rng.integers(3, 40)), 2)).tolist()]}, "properties": {"classification": {"name": f"{odd} {k}"}}}
+    made = [feature(k) for k in range(60)]
+    text = json.dumps({"type": "FeatureCollection", "features": made}, indent=indent)
+    (tmp_path / "g.json").write_text(text)
+    monkeypatch.setattr(geojson, "CHUNK", 700)
+    monkeypatch.setattr(geojson, "MARGIN", 64)
+    for size in (333, 5_000, 10**9):
+        texts = []
+        for at in range(0, len(text), size):
+            with open(tmp_path / "g.json", "rb") as file:
+                texts += list(geojson.features(file, at, min(at + size, len(text))))
+        assert [json.loads(t) for t in texts] == made
+    got = sorted((r.label, r["class"], r.rings) for r in layouts.read_geojson(spark, str(tmp_path / "g.json"), range_bytes=900).collect())
+    assert got == [(k + 1, f"{odd} {k}", [[[float(x), float(y)] for x, y in f["geometry"]["coordinates"][0]]]) for k, f in enumerate(made)]
+
+
+def test_geojson_written_otherwise(tmp_path):
+    turned = {"features": [{"properties": {}, "type": "Feature"}], "type": "FeatureCollection"}
+    mixed = {"type": "FeatureCollection", "features": [{"type": "Feature", "id": 1}, {"id": 2, "type": "Feature"}]}
+    for body in (json.dumps(turned), json.dumps(mixed), '{"type": "Polygon"}', '{"type": "Feature", "id": "no end'):
+        (tmp_path / "g.json").write_text(body)
+        with open(tmp_path / "g.json", "rb") as file, pytest.raises(ValueError):
+            list(geojson.features(file, 0, len(body)))
+    for body in ("", " ", json.dumps({"type": "FeatureCollection", "features": []})):
+        (tmp_path / "g.json").write_text(body)
+        with open(tmp_path / "g.json", "rb") as file:
+            assert list(geojson.features(file, 0, len(body))) == []
+
+
 def test_bundle(spark, tmp_path):
     obs, var, x = spark.range(3), spark.range(2), spark.range(6)
     layouts.write_bundle(str(tmp_path / "b"), obs, var, x)
