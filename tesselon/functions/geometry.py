@@ -38,6 +38,13 @@ def apply_affine(m: Column, x: Column, y: Column) -> tuple[Column, Column]:
     return a * x + b * y + tx, c * x + d * y + ty
 
 
+def affine_parts(m: Column) -> dict[str, Column]:
+    """``scale_x, scale_y`` (lengths of the images of the unit vectors), ``turn`` of the first in degrees, length of the
+    ``shift``, and whether the plane is ``mirrored``; null for a null matrix."""
+    a, b, tx, c, d, ty = _six(m)
+    return {"scale_x": F.hypot(a, c), "scale_y": F.hypot(b, d), "turn": F.degrees(F.atan2(c, a)), "shift": F.hypot(tx, ty), "mirrored": a * d - b * c < 0}
+
+
 def compose_affine(first: Column, second: Column) -> Column:
     """The matrix of ``second`` after ``first``."""
     a, b, tx, c, d, ty = _six(first)

@@ -34,6 +34,14 @@ def file_listing(spark, path: str, pattern: str = "*", hashed: bool = False) ->
     return files.select(*wanted, *([fingerprint(F.col("content")).alias("hash")] if hashed else []))
 
 
+def build_manifest(files: DataFrame, listing: DataFrame) -> DataFrame:
+    """``sample_id, role, path`` with what a hashed ``file_listing`` says of each: ``present``, ``hash`` (MISSING where
+    there is no file) and ``size`` (null there). Repeated rows count once."""
+    there = listing.select("path", "hash", "size").dropDuplicates(["path"])
+    out = files.select("sample_id", "role", "path").distinct().join(there, "path", "left")
+    return out.select("sample_id", "role", "path", F.col("hash").isNotNull().alias("present"), F.coalesce("hash", F.lit("MISSING")).alias("hash"), "size")
+
+
 def verify_manifest(manifest: DataFrame, current: DataFrame) -> DataFrame:
     """Adds ``ok`` to ``sample_id, role, path, hash``: the file is there and its hash is the recorded one."""
     now = current.select("path", F.col("hash").alias("hash_now"))

@@ -14,12 +14,9 @@ from pyspark.sql import types as T
 from tesselon.session import materialize, small
 
 
-def principal_components(df: DataFrame, record_id: str, vector: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """``id, scores`` of centred vectors, and ``component, ratio`` of explained variance.
-
-    The covariance is one distributed aggregate; only its features by features matrix reaches the driver. Null vectors
-    are left out, null and NaN entries count as 0; all vectors must be of one length.
-    """
+def _components(df: DataFrame, record_id: str, vector: str, k: int):
+    """The centred vectors and the fitted model. The covariance is one distributed aggregate; only its features by
+    features matrix reaches the driver."""
     zeroed = F.transform(F.col(f"`{vector}`"), lambda x: F.coalesce(F.nanvl(x.cast("double"), F.lit(0.0)), F.lit(0.0)))
     rows = df.where(F.col(f"`{vector}`").isNotNull()).select(F.col(f"`{record_id}`").alias("id"), zeroed.alias("v"))
     widths = rows.select(F.size("v").alias("d")).distinct().limit(2).collect()
@@ -28,11 +25,27 @@ def principal_components(df: DataFrame, record_id: str, vector: str, k: int) ->
     d = widths[0][0] if widths else 0
     means = rows.agg(*[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(d)]).first() if d else []
     centred = rows.select("id", array_to_vector(F.transform("v", lambda x, i: x - F.get(F.array(*[F.lit(float(m)) for m in means]), i))).alias("features"))
-    model = PCA(k=min(k, max(d, 1)), inputCol="features", outputCol="scores").fit(centred)
+    return centred, PCA(k=min(k, max(d, 1)), inputCol="features", outputCol="scores").fit(centred)
+
+
+def principal_components(df: DataFrame, record_id: str, vector: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """``id, scores`` of centred vectors, and ``component, ratio`` of explained variance.
+
+    Null vectors are left out, null and NaN entries count as 0; all vectors must be of one length.
+    """
+    centred, model = _components(df, record_id, vector, k)
     ratios = [(i + 1, float(r)) for i, r in enumerate(model.explainedVariance)]
     return model.transform(centred).select("id", vector_to_array("scores").alias("scores")), df.sparkSession.createDataFrame(ratios, "component int, ratio double")
 
 
+def component_loadings(df: DataFrame, record_id: str, vector: str, k: int) -> DataFrame:
+    """``component, position, loading``: how much each position of the vector counts in each component; the sign is such
+    that a component's largest loading is positive. As many rows as components times positions."""
+    loads = _components(df, record_id, vector, k)[1].pc.toArray()
+    loads = loads * np.sign(loads[np.abs(loads).argmax(0), np.arange(loads.shape[1])])
+    return df.sparkSession.createDataFrame([(c + 1, p, float(v)) for (p, c), v in np.ndenumerate(loads)], "component int, position int, loading double")
+
+
 def covariance(df: DataFrame, vector: str, width: int) -> DataFrame:
     """``i, j, covariance`` (population) of the first ``width`` positions, i <= j; one aggregate over the rows, no pairs of
     features as rows. Rows without a value at a position don't count for its pairs; null vectors count for none."""

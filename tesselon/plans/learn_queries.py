@@ -22,6 +22,20 @@ def pca_variance_ratio(spark, sf_dir):
     return L.principal_components(table(spark, sf_dir, "integrated_cells").dropDuplicates(["cell_uid"]), "cell_uid", "x", 10)[1]
 
 
+@R.query()
+def pca_loadings(spark, sf_dir):
+    """How much each feature counts in the first five components."""
+    cells = table(spark, sf_dir, "integrated_cells").select("cell_uid", "x").dropDuplicates(["cell_uid"])
+    return L.component_loadings(cells, "cell_uid", "x", 5)
+
+
+@R.query()
+def pca_composite(spark, sf_dir):
+    """One value for each cell: its first components, weighted by their share of the variance."""
+    cells = table(spark, sf_dir, "integrated_cells").select("cell_uid", "x").dropDuplicates(["cell_uid"])
+    return L.component_scores(cells, "cell_uid", "x", 3)
+
+
 @R.query(f"""WITH {KNN}, v AS (SELECT DISTINCT ON (cell_uid) cell_uid AS id, sample_id, x FROM integrated_cells WHERE x IS NOT NULL),
     l AS (SELECT id, sample_id, printf('f%02d', i - 1) AS feature, x[i]::DOUBLE AS value FROM v, range(1, 33) t(i)),
     a AS (SELECT left_id AS id, feature, avg(value) AS around FROM knn JOIN l ON l.id = right_id GROUP BY ALL)

@@ -139,6 +139,14 @@ def affine_inverse(spark, sf_dir):
     return _transforms(spark, sf_dir).withColumn("inv", G.invert_affine(F.col("matrix"))).where("inv is not null").select("transform_id", *_entries(F.col("inv")))
 
 
+@R.query(f"""WITH {TR} SELECT transform_id, round(sqrt(a * a + c * c), 6) AS scale_x, round(sqrt(b * b + d * d), 6) AS scale_y, round(degrees(atan2(c, a)), 5) + 0 AS turn, round(sqrt(tx * tx + ty * ty), 6) AS shift,
+    a * d - b * c < 0 AS mirrored FROM t""")
+def affine_parts(spark, sf_dir):
+    """Scales, turn in degrees, length of the shift and handedness of each transform."""
+    parts = G.affine_parts(F.col("matrix"))
+    return rounded(_transforms(spark, sf_dir).select("transform_id", *[c.alias(n) for n, c in parts.items()]).withColumn("turn", F.round("turn", 5) + F.lit(0.0)), "scale_x", "scale_y", "shift")
+
+
 @R.query(f"WITH {TR} SELECT transform_id, round(a * a + b * c, 6) + 0 AS a, round(a * b + b * d, 6) + 0 AS b, round(a * tx + b * ty + tx, 6) + 0 AS tx, round(c * a + d * c, 6) + 0 AS c, round(c * b + d * d, 6) + 0 AS d, round(c * tx + d * ty + ty, 6) + 0 AS ty FROM t")
 def affine_compose(spark, sf_dir):
     return _transforms(spark, sf_dir).select("transform_id", *_entries(G.compose_affine(F.col("matrix"), F.col("matrix"))))

@@ -9,6 +9,7 @@ from tesselon.operators.audit import safe_name
 from tesselon.functions.geometry import invert_affine
 from tesselon.operators.matrix import merge_channels
 from tesselon.session import materialize, small
+from tesselon.sources.files import matching
 from tesselon.sources.geojson import RANGE_BYTES, GeojsonFeatures
 
 
@@ -93,6 +94,14 @@ def write_geojson(polygons: DataFrame, folder: str) -> None:
     polygons.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("feature_id").alias("id"), geometry.alias("geometry"), props.alias("properties"))).alias("value")).write.mode("overwrite").text(folder)
 
 
+def read_metadata(spark: SparkSession, pattern: str) -> DataFrame:
+    """The first CSV by name that matches, with its header, all as text; none is an error."""
+    found = matching(pattern)
+    if not found:
+        raise ValueError(f"no file matches {pattern}")
+    return spark.read.csv(found[0][0], header=True, multiLine=True, escape='"')
+
+
 def read_transforms(spark: SparkSession, path: str) -> DataFrame:
     """``sample_id, modality, matrix, invert, effective``: the transforms of a JSON map of samples, entries starting
     with _ left out; ``effective`` is the inverse unless ``invert`` is false. Matrices that aren't 2x3 are null."""

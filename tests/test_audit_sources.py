@@ -42,6 +42,26 @@ def test_gate(spark):
     assert got == {"ok": "approved", "edited": "files_changed", "gone": "files_changed", "open": "not_approved", "none": "no_manifest"}
 
 
+def test_manifest_and_metadata(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    (tmp_path / "meta_2.csv").write_text("id,note\n9,late\n")
+    (tmp_path / "meta_1.csv").write_text('id,note\n1,"two\nlines, ""quoted"""\n2,\n')
+    here = f"file:{tmp_path}/a.bin"
+    files = spark.createDataFrame([("s", "mask", here), ("s", "mask", here), ("s", "image", "file:/none"), ("t", "mask", None)], "sample_id string, role string, path string")
+    got = {(r.sample_id, r.role): (r.present, r.hash, r["size"]) for r in A.build_manifest(files, A.file_listing(spark, str(tmp_path), "*.bin", hashed=True)).collect()}
+    assert got == {("s", "mask"): (True, hashlib.sha256(b"abc").hexdigest()[:16], 3), ("s", "image"): (False, "MISSING", None), ("t", "mask"): (False, "MISSING", None)}
+    assert [tuple(r) for r in layouts.read_metadata(spark, f"{tmp_path}/meta_*.csv").collect()] == [("1", 'two\nlines, "quoted"'), ("2", None)]
+    with pytest.raises(ValueError):
+        layouts.read_metadata(spark, f"{tmp_path}/no*.csv")
+
+
+def test_channels_written(spark, tmp_path):
+    long = spark.createDataFrame([("s/1", c, x, 0, float(x)) for c in ("a b", "c") for x in range(3)], "sample_id string, channel string, x int, y int, value double")
+    layouts.write_channels(long, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {(r.sample_id, r.channel, r.x) for r in back.collect()} == {("s_1", c, x) for c in ("a_b", "c") for x in range(3)}
+
+
 def test_names(spark):
     df = spark.createDataFrame([("AB12_chip_3",), ("x",), (None,)], "s string")
     s, c = A.sample_and_chip(F.col("s"))

@@ -142,6 +142,10 @@ def test_components_and_silhouette(spark):
     scores = {r.id: r.score for r in L.component_scores(df, "id", "v", 2).collect()}
     assert len({scores[k] > 0 for k in range(0, 60, 2)}) == 1 and (scores[0] > 0) != (scores[1] > 0)
     x = np.array([r[1] for r in rows])
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    top = vectors[:, values.argmax()]
+    loads = [r.loading for r in L.component_loadings(df, "id", "v", 1).orderBy("position").collect()]
+    assert loads == pytest.approx(list(top * np.sign(top[np.abs(top).argmax()])))
     assert {(r.i, r.j): r.covariance for r in L.covariance(df, "v", 2).collect()} == {(i, j): pytest.approx(np.cov(x.T, bias=True)[i, j]) for i, j in ((0, 0), (0, 1), (1, 1))}
 
 
