@@ -5,10 +5,11 @@ minimum spanning tree, condensed hierarchy, stability-based selection, most pers
 
 Distances are angles. Records of one cell of the first hash table within half the similarity angle of another one, their
 leader, are gathered (data bubbles, with their mean and radius): all members of a bubble are similar to one another, so
-a dense set of any size is a few bubbles and never a square of pairs. Cells follow from the records alone, so bubbles
+the graph of a dense set of any size is one of a few bubbles. Cells follow from the records alone, so bubbles
 don't depend on how the table is partitioned. Bubbles find their neighbours through cross-polytope hash tables; within
 a bucket a local spanning forest of the sure links is kept, and links that only single members might make are checked on
-the members. Trees of the graph are condensed from all pairs of their records, or, beyond ``EXACT`` records, over bubbles.
+the members. Trees of the graph are condensed from all pairs of their records whatever their size: up to ``EXACT`` records
+in one task, larger ones in pairs of parts.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -384,10 +384,6 @@ def _neighbours(angle: float):
     return run
 
 
-#: Angle by which the 16-bit form of a vector may be off, with room to spare.
-EPS = 2e-4
-
-
 def _bucket(ids: np.ndarray, wide: np.ndarray, tight: np.ndarray, v: np.ndarray, angle: float) -> Iterator[tuple[np.ndarray, ...]]:
     """A spanning forest of the sure links of one bucket, and the links between its trees that members might make.
 
@@ -480,79 +476,19 @@ def similar_sets(graph: Graph, found: DataFrame) -> DataFrame:
     ``cluster`` is the smallest id of the set.
 
     The candidates are the roots of the ``hierarchy`` ``found``, that is the subtrees of the spanning forest at the
-    similarity angle. The widest pair of a tree condensed from its records is known from there. A larger tree is such a
-    set if its records lie within half the angle of their common mean (then all pairs do), and is none if its outermost
-    record is farther from another one than the angle; of what is left all records are compared, in pairs of blocks.
+    similarity angle; the widest pair of each is known from there.
     """
-    known = found.where("tight").select("id", "cluster")
-    large = found.where("tight is null").select("tree", "node").distinct()
-    if large.isEmpty():
-        return known
-    rows = materialize(graph.members.select(F.col("leader").alias("node"), "id", "vec").join(small(large), "node").select("tree", "id", "vec"))
-    sums = rows.mapInArrow(_sums, "tree long, total array<double>").select("tree", F.posexplode("total")).groupBy("tree", "pos").agg(F.sum("col").alias("v"))
-    centre = sums.groupBy("tree").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "v"))), lambda x: x.v).alias("to"))
-    away = rows.join(small(centre), "tree").mapInArrow(_angles, "tree long, id long, ang double")
-    outer = materialize(away.groupBy("tree").agg(F.max("ang").alias("far"), F.max_by("id", F.struct("ang", "id")).alias("id")))
-    tips = rows.join(small(outer.where(F.col("far") > graph.angle / 2 - EPS)), ["tree", "id"]).groupBy("tree").agg(F.min("vec").alias("tip"))
-    across = rows.join(small(tips), "tree").select("tree", "id", "vec", "tip").mapInArrow(_angles, "tree long, id long, ang double").groupBy("tree").agg(F.max("ang").alias("far"))
-    still_open = materialize(across.where(F.col("far") <= graph.angle + EPS).select("tree"))
-    good = outer.where(F.col("far") <= graph.angle / 2 - EPS).select("tree")
-    if not still_open.isEmpty():
-        good = good.unionByName(_all_pairs(rows.join(small(still_open), "tree", "left_semi"), graph.angle))
-    sets = rows.join(small(good), "tree", "left_semi")
-    sizes = sets.groupBy("tree").agg(F.countDistinct("id").alias("size"), F.min("id").alias("cluster")).where("size > 1").drop("size")
-    return known.unionByName(sets.join(small(sizes), "tree").select("id", "cluster").distinct())
-
-
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (x for whole in batches for x in _same_width(whole, "vec")):
-        tree, at = np.unique(batch.column("tree").to_numpy(), return_inverse=True)
-        v = _vectors(batch.column("vec"))
-        total = np.zeros((len(tree), v.shape[1]))
-        np.add.at(total, at, v)
-        yield pa.RecordBatch.from_arrays([pa.array(tree), pa.array(list(total), pa.list_(pa.float64()))], names=["tree", "total"])
-
-
-def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Angle of ``vec`` to the last column, an array or a vector in 16-bit form."""
-    for batch in (x for whole in batches for x in _same_width(whole, "vec")):
-        v, to = _vectors(batch.column("vec")).astype(np.float64), batch.column(batch.num_columns - 1)
-        c = _vectors(to).astype(np.float64) if pa.types.is_binary(to.type) else to.flatten().to_numpy().reshape(len(v), -1)
-        c = c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
-        yield pa.RecordBatch.from_arrays([batch.column("tree"), batch.column("id"), pa.array(np.arccos(np.clip((v * c).sum(1), -1, 1)))], names=["tree", "id", "ang"])
-
-
-def _all_pairs(rows: DataFrame, angle: float, block: int = 2_000) -> DataFrame:
-    """``tree`` of those whose every pair of records is similar. Only sets that no bound decides come here."""
-    sizes = rows.groupBy("tree").agg(F.count("*").alias("size"))
-    cut = rows.join(small(sizes), "tree").withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    spread = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("tree", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "vec")
-    limit = math.cos(angle)
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        v = np.frombuffer(b"".join(frame["vec"]), "<i2").reshape(len(frame), -1).astype(np.float64)
-        v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-        worst = min(float((v[k : k + BLOCK] @ v.T).min()) for k in range(0, len(v), BLOCK))
-        return pd.DataFrame({"tree": frame["tree"].iloc[:1].to_numpy(), "good": [worst >= limit - 2e-8]})
+    return found.where("tight").select("id", "cluster")
 
-    return spread.groupBy("tree", "p", "q").applyInPandas(run, "tree long, good boolean").groupBy("tree").agg(F.min("good").alias("good")).where("good").select("tree")
 
+def spanning_tree(graph: Graph, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """``a, b, w, tree``: minimum spanning forest of the nodes by the angles of the edges.
 
-def spanning_tree(graph: Graph, core: DataFrame | None = None, local_edges: int = LOCAL_EDGES) -> DataFrame:
-    """``a, b, w, tree``: minimum spanning forest of the leaders by mutual reachability max(core a, core b, angle).
-
-    ``core`` are the core distances (``node, core``, see ``core_distances``); without them the angles count. While the
-    graph is large, Borůvka rounds run on all edges: each tree's least edge is one grouped minimum, trees are merged by
-    connected components and parallel edges reduced to the least. A remainder that fits one task by count is finished
-    there.
+    While the graph is large, Borůvka rounds run on all edges: each tree's least edge is one grouped minimum, trees are
+    merged by connected components and parallel edges reduced to the least. A remainder that fits one task by count is
+    finished there.
     """
-    weight = F.col("ang")
-    edges = graph.edges
-    if core is not None:
-        side = lambda c: small(core.select(F.col("node").alias(c), F.col("core").alias(f"core_{c}")))
-        edges = edges.join(side("a"), "a").join(side("b"), "b")
-        weight = F.least(F.greatest("ang", "core_a", "core_b"), F.lit(graph.angle))
-    edges = materialize(edges.select("a", "b", weight.alias("w"), F.col("a").alias("ta"), F.col("b").alias("tb")))
+    edges = materialize(graph.edges.select("a", "b", F.col("ang").alias("w"), F.col("a").alias("ta"), F.col("b").alias("tb")))
     done: list[DataFrame] = []
     n = edges.count()
     while n > local_edges:
@@ -586,9 +522,16 @@ def spanning_tree(graph: Graph, core: DataFrame | None = None, local_edges: int
     return materialize(out.join(graph.labels.withColumnsRenamed({"node": "a", "label": "tree"}), "a"))
 
 
-#: Records of a tree up to which its hierarchy is that of the records themselves, by all their pairs; above, of bubbles.
+#: Records of a tree up to which one task has all their pairs; a larger tree is cut in parts, with the same result.
 EXACT = 2_500
 
+#: Different vectors of a larger tree that make a part, as long as the tree has no more than ``PARTS`` of them.
+PART, PARTS = 32_768, 32
+#: Pairs of vectors meant for one task.
+TASK_PAIRS = 16_000_000
+#: Error of a cosine in single precision, with room to spare.
+ROUGH = 1e-5
+
 #: Nodes of a tree that one task condenses; a tree of more is folded in rounds.
 NODES = 100_000
 
@@ -598,114 +541,151 @@ HIERARCHY = "tree long, node long, id long, part long, strength double, stabilit
 def hierarchy(graph: Graph, min_cluster_size: int = 2, exact: int = EXACT) -> DataFrame:
     """``tree, node, id, part, strength, stability, tight, cluster`` of every linked record.
 
-    ``part`` names the chosen cluster, null outside of all. Trees of at most ``exact`` records are condensed from all
-    pairs of their records; ``tight`` says whether no pair is farther apart than the angle, ``cluster`` is the smallest
-    id. Larger trees are condensed over bubbles, those two are null.
+    ``part`` names the chosen cluster, null outside of all; ``tight`` says whether no pair of the tree is farther apart
+    than the angle, ``cluster`` is its smallest id. All trees are condensed from all pairs of their records; ``exact``
+    only says up to how many records one task does so, it plays no part in the results.
     """
     heads = graph.members.where("n > 0").select(F.col("leader").alias("node"), "n")
     trees = heads.join(small(graph.labels), "node", "left").select("node", F.coalesce("label", "node").alias("tree"), "n")
     sizes = trees.groupBy("tree").agg(F.sum("n").alias("size")).where(F.col("size") >= min_cluster_size)
     placed = materialize(trees.select("node", "tree").join(sizes, "tree"))
     laid = graph.members.select(F.col("leader").alias("node"), "id", "vec").join(small(placed.where(F.col("size") <= exact).drop("size")), "node")
-    laid = laid.repartition("tree").sortWithinPartitions("tree", "id")
+    laid = laid.repartition("tree").sortWithinPartitions("tree", "id", "vec")
     out = laid.mapInArrow(_condense_records(graph.angle, min_cluster_size), HIERARCHY)
     large = placed.where(F.col("size") > exact).drop("size")
     if not large.isEmpty():
-        out = out.unionByName(_bubble_hierarchy(graph, large, min_cluster_size))
+        out = out.unionByName(_hierarchy_in_parts(graph, large, min_cluster_size))
     return materialize(out)
 
 
-def _bubble_hierarchy(graph: Graph, large: DataFrame, least: int) -> DataFrame:
-    nodes = materialize(graph.members.select(F.col("leader").alias("node"), "id", "ang").join(small(large), "node"))
-    leaders = small(large.select(F.col("node").alias("leader")).distinct())
-    heads = graph.members.where("n > 0").join(leaders, "leader", "left_semi")
-    payload = materialize(heads.select("leader", F.coalesce("mean", "vec").alias("mean"), "n", F.explode("codes").alias("bucket")))
-    crowded = materialize(payload.groupBy("bucket").count().where(F.col("count") > HOT))
-    core = core_distances(pairs_of_parts(payload, crowded), nodes, graph.angle)
-    # links within the buckets by mutual reachability, those known between members join at the limit at the latest
-    reach = pairs_of_parts(payload.join(small(core.withColumnRenamed("node", "leader")), "leader"), crowded).repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "leader")
-    edges = reach.mapInArrow(_reach_forests(graph.angle), "a long, b long, ang double")
-    known = graph.edges.join(small(leaders.withColumnRenamed("leader", "a")), "a", "left_semi").select("a", "b", F.lit(graph.angle).alias("ang"))
-    edges = materialize(edges.unionByName(known).groupBy("a", "b").agg(F.min("ang").alias("ang")))
-    tree = spanning_tree(Graph(graph.members, edges, graph.labels, graph.angle), core)
-    own = nodes.join(small(core), "node").withColumn("own", 1 / F.greatest(F.col("ang").cast("double"), "core", F.lit(1e-3)))
-    states = own.groupBy("tree", "node").agg(F.count("*").alias("n"), F.sum("own").alias("total"))
-    states = materialize(states.select("tree", "node", "n", F.when(F.col("n") >= least, F.col("total")).otherwise(0.0).alias("total"), F.lit(0.0).alias("below")))
-    chosen = condense_trees(states, tree, graph.angle, least)
-    # a member of a bubble leaves at its own density at the latest
-    rows = own.join(small(chosen), "node").select("tree", "node", "id", "part", F.least("leave", "own").alias("strength"), "stability")
-    return rows.withColumns({"tight": F.lit(None).cast("boolean"), "cluster": F.lit(None).cast("long")})
-
-
-def core_distances(payload: DataFrame, nodes: DataFrame, angle: float, min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """``node, core``: the angle within which a bubble's centre has ``min_samples`` records, at most ``angle``.
-
-    Own members count at their angle to the mean, another bubble's at its mean; lone records at their own place. The
-    nearest of each are taken from every hash bucket before any forest thins the links.
+def _hierarchy_in_parts(graph: Graph, large: DataFrame, least: int, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """``hierarchy`` of the trees ``large`` (node, tree), by the steps of ``_condense_records`` in pairs of parts.
+
+    Equal vectors are one point with a number ``n``, so copies cost nothing; all pairs of points are compared, once for
+    the core distances and once for the spanning trees of the pairs of parts, which hold that of the whole.
     """
-    laid = payload.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "leader")
-    near = laid.mapInArrow(_nearest(angle, min_samples), "node long, other long, ang double, n int").groupBy("node", "other").agg(F.min("ang").alias("ang"), F.max("n").alias("n"))
-    rows = near.select("node", "ang", "n").unionByName(nodes.select("node", F.col("ang").cast("double").alias("ang"), F.lit(1).alias("n")))
-    within = F.sum("n").over(Window.partitionBy("node").orderBy("ang").rowsBetween(Window.unboundedPreceding, 0))
-    core = rows.withColumn("within", within).groupBy("node").agg(F.min(F.when(F.col("within") >= min_samples, F.col("ang"))).alias("core"))
-    return materialize(core.select("node", F.least(F.coalesce("core", F.lit(angle)), F.lit(angle)).alias("core")))
-
-
-def _bucket_pairs(v: np.ndarray, angle: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``i, j, w`` of the rows i < j at most ``angle`` apart, block by block; ``v`` is in order of its widest coordinate."""
-    place = v[:, int(v.var(0).argmax())]
-    reach = 2 * math.sin(angle / 2) + 1e-6
-    for p in range(0, len(v), BLOCK):
-        for q in range(p, len(v), BLOCK):
-            if place[q] - place[min(p + BLOCK, len(v)) - 1] > reach:
-                break
-            s = v[p : p + BLOCK] @ v[q : q + BLOCK].T
-            i, j = np.nonzero(s >= math.cos(angle) - 2e-8)
-            w = np.arccos(np.clip(s[i, j], -1, 1))
-            ahead = j + q > i + p
-            yield i[ahead] + p, j[ahead] + q, w[ahead]
+    angle, k = graph.angle, max(1, min_samples - 1)
+    rows = graph.members.select(F.col("leader").alias("node"), "id", "vec").join(small(large), "node")
+    rows = rows.groupBy("tree", "id").agg(F.min(F.struct("vec", "node")).alias("r")).select("tree", "id", "r.vec", "r.node")
+    records = materialize(rows.withColumn("key", F.monotonically_increasing_id()))  # an id may stand in several trees
+    points = materialize(records.groupBy("tree", "vec").agg(F.min("key").alias("key"), F.count("*").alias("n")))
+    sizes = points.groupBy("tree").agg(F.sum("n").alias("size"), F.count("*").alias("points")).where(F.col("size") >= least)
+    sizes = materialize(sizes.withColumn("parts", F.least(F.ceil(F.col("points") / PART), F.lit(PARTS)).cast("long")))
+    pairs = sizes.agg(F.sum(F.col("points").cast("double") ** 2 / 2)).first()[0] or 0
+    tasks = int(min(1_024, 2 * math.ceil(pairs / TASK_PAIRS) + 1))
+    points = points.join(small(sizes.select("tree", "size", "parts")), "tree").withColumn("own", F.pmod(F.xxhash64("key"), F.col("parts")))
+    points = materialize(points)
+    near = _in_pairs_of_parts(points, tasks).mapInArrow(_nearest(k), "tree long, key long, near array<double>, low double")
+    near = materialize(near)
+    copies = points.where("n > 1").select("tree", "key", F.array_repeat(F.lit(1.0), F.least("n", F.lit(k + 1)).cast("int") - 1).alias("near"))
+    nearest = near.select("tree", "key", "near").unionByName(copies).groupBy("tree", "key").agg(F.sort_array(F.flatten(F.collect_list("near")), False).alias("near"))
+    last = F.least(F.lit(k), F.col("size") - 1).cast("int")  # of a smaller tree the last record
+    core = nearest.join(small(sizes.select("tree", "size")), "tree").select("key", F.greatest(F.element_at("near", F.greatest(last, F.lit(1))), F.lit(math.cos(angle))).alias("core"))
+    points = materialize(points.join(small(core), "key"))
+    edges = _in_pairs_of_parts(points, tasks, "core").mapInArrow(_part_trees(angle), "a long, b long, ang double")
+    labels = points.select(F.col("key").alias("node"), F.col("tree").alias("label"))
+    tree = spanning_tree(Graph(graph.members, edges, labels, angle)).select("tree", "a", "b", "w")
+    # copies join their point at its core distance
+    joined = records.select("tree", "vec", F.col("key").alias("b")).join(points.where("n > 1").select("tree", "vec", F.col("key").alias("a"), "core"), ["tree", "vec"]).where("a <> b")
+    joined = joined.select("tree", "a", "b", "core").mapInArrow(_core_edges(angle), "tree long, a long, b long, w double")
+    nodes = records.join(small(sizes.select("tree")), "tree", "left_semi").select("tree", F.col("key").alias("node"), F.lit(1).cast("long").alias("n"), F.lit(0.0).alias("total"), F.lit(0.0).alias("below"))
+    chosen = condense_trees(nodes, materialize(tree.unionByName(joined)), angle, least).withColumnsRenamed({"node": "key", "part": "named"})
+    found = materialize(records.select("tree", "node", "id", "key").join(small(chosen), "key"))
+    names = found.where("named is not null").groupBy("named").agg(F.min("id").alias("part"))
+    whole = near.groupBy("tree").agg((F.min("low") >= math.cos(angle) - 2e-8).alias("tight"))
+    whole = whole.join(records.groupBy("tree").agg(F.min("id").alias("cluster")), "tree")
+    found = found.join(small(names), "named", "left").join(small(whole), "tree")
+    return found.select("tree", "node", "id", "part", F.col("leave").alias("strength"), "stability", "tight", "cluster")
+
+
+def _in_pairs_of_parts(points: DataFrame, tasks: int, *columns: str) -> DataFrame:
+    """``points`` laid out by ``tree, p, q``, the pairs of their parts; ``side`` 1 follows 0 if p and q differ."""
+    spread = points.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    spread = spread.select("tree", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("int").alias("side"), "key", "n", "vec", *columns)
+    return spread.repartition(tasks, "tree", "p", "q").sortWithinPartitions("tree", "p", "q", "side", "key")
+
+
+def _pairs_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, int]]:
+    """Each pair of parts, its vectors in 16-bit steps and the row at which the second part begins, 0 within a part."""
+    for rows in _rows_by(batches, "tree", "p", "q"):
+        for group in _groups(rows, "tree", "p", "q"):
+            n, second = group.num_rows, int(group["side"].to_numpy().sum())
+            apart = group["p"][0].as_py() != group["q"][0].as_py()
+            if apart and second in (0, n):  # a part without points
+                continue
+            yield group, np.frombuffer(b"".join(group["vec"].to_pylist()), "<i2").reshape(n, -1).astype(np.float64), n - second if apart else 0
+
+
+def _nearest(k: int):
+    """Of each point the cosines of the ``k`` nearest other records in the other part (or the same), -2 where there
+    are fewer, and the lowest cosine. Rough cosines say which pairs may count, exact ones decide."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group, v, cut in _pairs_of_parts(batches):
+            size, n = len(v), group["n"].to_numpy()
+            scale = 1 / np.maximum(np.linalg.norm(v, axis=1), 1e-12)
+            unit = (v * scale[:, None]).astype(np.float32)
+            near, low = np.full((size, k), -2.0), 2.0
+            for lo, hi, start, end in [(0, cut, cut, size), (cut, size, 0, cut)] if cut else [(0, size, 0, size)]:
+                for at in range(lo, hi, BLOCK // 4):
+                    s = unit[at : min(at + BLOCK // 4, hi)] @ unit[start:end].T
+                    least = float(s.min())
+                    if least < low + 2 * ROUGH:
+                        i, j = _places(s, s <= least + 2 * ROUGH)
+                        low = min(low, float(_cosines_of(v, scale, i + at, j + start).min()))
+                    if not cut:
+                        s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
+                    some = s[:, : BLOCK // 2]
+                    some = np.partition(some, max(0, some.shape[1] - k), axis=1)[:, max(0, some.shape[1] - k)]
+                    i, j = _places(s, s >= some[:, None] - np.float32(2 * ROUGH))
+                    i, j = i + at, j + start
+                    i, j = i[i != j], j[i != j]
+                    exact = _cosines_of(v, scale, i, j)
+                    order = np.lexsort((-exact, i))
+                    order = order[_rank(i[order]) < k]
+                    times = np.minimum(n[j[order]], k)
+                    i, exact = np.repeat(i[order], times), np.repeat(exact[order], times)
+                    slot = _rank(i)
+                    near[i[slot < k], slot[slot < k]] = exact[slot < k]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * k + 1, k, dtype=np.int32)), pa.array(near.ravel()))
+            yield pa.RecordBatch.from_arrays([group["tree"].combine_chunks(), group["key"].combine_chunks(), lists, pa.array(np.full(size, low))], names=["tree", "key", "near", "low"])
+
+    return run
+
+
+def _places(s: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.divmod(np.flatnonzero(hit.ravel()), s.shape[1])
 
 
-def _each_bucket(rows: pa.Table) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Rows of each bucket of two or more, with their vectors, in order of the widest coordinate."""
-    for part in _groups(rows, "bucket", "p", "q"):
-        if part.num_rows > 1:
-            v = _vectors(part["mean"]).astype(np.float64)
-            v /= np.linalg.norm(v, axis=1, keepdims=True)
-            order = np.argsort(v[:, int(v.var(0).argmax())], kind="stable")
-            yield part.take(pa.array(order)), v[order]
+def _rank(i: np.ndarray) -> np.ndarray:
+    """Place of each value of ``i``, in order, among its equals."""
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else i
+    return np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
 
 
-def _nearest(angle: float, k: int):
+def _cosines_of(v: np.ndarray, scale: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of pairs of rows, to the last bit those of ``cosines``."""
+    out = np.empty(len(i))
+    for at in range(0, len(i), 65_536):
+        a, b = i[at : at + 65_536], j[at : at + 65_536]
+        out[at : at + 65_536] = np.einsum("ij,ij->i", v[a], v[b]) * (scale[a] * scale[b])
+    return out
+
+
+def _part_trees(angle: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _rows_by(batches, "bucket", "p", "q"):
-            for part, v in _each_bucket(rows):
-                i, j, w = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-                for a, b, d in _bucket_pairs(v, angle):
-                    i, j, w = np.concatenate([i, a, b]), np.concatenate([j, b, a]), np.concatenate([w, d, d])
-                    order = np.lexsort((w, i))
-                    i, j, w = i[order], j[order], w[order]
-                    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else i
-                    rank = np.arange(len(i)) - np.repeat(first, np.diff(np.r_[first, len(i)]))
-                    i, j, w = i[rank < k], j[rank < k], w[rank < k]
-                if len(i):
-                    ids = part["leader"].to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j]), pa.array(w), pa.array(part["n"].to_numpy()[j], pa.int32())], names=["node", "other", "ang", "n"])
+        for group, v, cut in _pairs_of_parts(batches):
+            keys = group["key"].to_numpy()
+            a, b, s = dense_tree(v, group["core"].to_numpy(), math.cos(angle), cut)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(keys[a], keys[b])), pa.array(np.maximum(keys[a], keys[b])), pa.array(_lengths(s, angle))], names=["a", "b", "ang"])
 
     return run
 
 
-def _reach_forests(angle: float):
+def _core_edges(angle: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _rows_by(batches, "bucket", "p", "q"):
-            for part, v in _each_bucket(rows):
-                ids, core = part["leader"].to_numpy(), part["core"].to_numpy()
-                i, j, w = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-                for a, b, d in _bucket_pairs(v, angle):
-                    d = np.maximum(np.maximum(d, core[a]), core[b])
-                    i, j, w = _forest(np.concatenate([i, a]), np.concatenate([j, b]), np.concatenate([w, d]), len(ids))
-                if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(w)], names=["a", "b", "ang"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(_lengths(batch.column("core").to_numpy(), angle))], names=["tree", "a", "b", "w"])
 
     return run
 
@@ -731,7 +711,7 @@ def clusters(graph: Graph, min_cluster_size: int = 2, exemplars: int = 3, exact:
 
 
 def _condense_records(angle: float, least: int, min_samples: int = MIN_SAMPLES):
-    limit = math.acos(math.cos(angle) - 2e-8)
+    limit = math.cos(angle) - 2e-8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _rows_by(batches, "tree"):
@@ -742,10 +722,10 @@ def _condense_records(angle: float, least: int, min_samples: int = MIN_SAMPLES):
                 if len(own) < least:
                     continue
                 v = np.frombuffer(b"".join(group["vec"].take(pa.array(first)).to_pylist()), "<i2").reshape(len(own), -1).astype(np.float64)
-                a, b, w, widest = record_tree(v, angle, min_samples)
+                a, b, w, lowest = record_tree(v, angle, min_samples)
                 lone, none = np.ones(len(own), np.int64), np.zeros(len(own))
                 part, stability, leave, _ = fold(own, lone, none, none, own[a], own[b], w, angle, least, close=True)[0]
-                out.append((tree[first], node[first], own, part, leave, stability, np.full(len(own), widest <= limit), np.full(len(own), own[0])))
+                out.append((tree[first], node[first], own, part, leave, stability, np.full(len(own), lowest >= limit), np.full(len(own), own[0])))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out)]
                 lost = cols[3] == NO_PART
@@ -755,37 +735,68 @@ def _condense_records(angle: float, least: int, min_samples: int = MIN_SAMPLES):
     return run
 
 
+def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of all rows of ``a`` with all of ``b``. Products of whole numbers, as vectors in 16-bit steps are, are exact in any
+    order, so a pair has the same cosine to the last bit in whatever blocks, and from either side."""
+    s = a @ b.T
+    s *= (1 / np.maximum(np.linalg.norm(a, axis=1), 1e-12))[:, None] * (1 / np.maximum(np.linalg.norm(b, axis=1), 1e-12))
+    return s
+
+
+def _lengths(s: np.ndarray, angle: float) -> np.ndarray:
+    """Angles of the cosines ``s``, at most ``angle``."""
+    return np.where(s <= math.cos(angle), angle, np.minimum(np.arccos(np.clip(s, -1, 1)), angle))
+
+
+def dense_tree(v: np.ndarray, core: np.ndarray, floor: float, cut: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spanning tree (Prim) of the rows of ``v`` by the highest of their mutual reachability as cosines, the least of
+    cosine and both ``core``, ``floor`` at least; with ``cut`` only of the pairs of a row before it and one from it on."""
+    n = len(v)
+    rows, v, core, scale = np.arange(n), v.copy(), np.maximum(core, floor), 1 / np.maximum(np.linalg.norm(v, axis=1), 1e-12)
+    best, source = np.full(n, -np.inf), np.zeros(n, np.int64)
+    a, b, s = np.zeros(n - 1, np.int64), np.zeros(n - 1, np.int64), np.zeros(n - 1)
+    begin, left = (0, cut), [cut or n, n - cut if cut else 0]  # rows outside of the tree stand first on each side
+    at = side = 0
+    for step in range(n - 1):
+        x, own, own_scale, own_core = rows[at], v[at].copy(), scale[at], core[at]
+        left[side] -= 1
+        for column in (rows, v, core, scale, best, source):
+            column[at] = column[begin[side] + left[side]]
+        other = 1 - side if cut else 0
+        if left[other]:
+            out = slice(begin[other], begin[other] + left[other])
+            reach = v[out] @ own
+            reach *= scale[out] * own_scale
+            np.minimum(reach, core[out], out=reach)
+            np.minimum(reach, own_core, out=reach)
+            np.maximum(reach, floor, out=reach)
+            nearer = np.flatnonzero(reach > best[out])
+            best[out][nearer] = reach[nearer]
+            source[out][nearer] = x
+        at = max((begin[k] + int(best[begin[k] : begin[k] + left[k]].argmax()) for k in (0, 1) if left[k]), key=best.__getitem__)
+        side = int(0 < cut <= at)
+        a[step], b[step], s[step] = source[at], rows[at], best[at]
+    return a, b, s
+
+
 def record_tree(v: np.ndarray, angle: float, min_samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Minimum spanning tree (Prim) of the rows of ``v``, linked at ``angle``, by mutual reachability, edges by weight;
-    and the angle of the widest pair.
+    """Minimum spanning tree of the rows of ``v``, linked at ``angle``, by mutual reachability, edges by weight; and the
+    cosine of the widest pair.
 
     A core distance is the angle to the (``min_samples`` - 1)-th other record, of a smaller tree to the last one, and
     ``angle`` where that is farther.
     """
-    v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
     n = len(v)
-    d = v @ v.T
-    np.clip(d, -1, 1, out=d)
-    np.arccos(d, out=d)
-    k = min(max(1, min_samples - 1), n - 1)
-    widest = float(d.max())
-    np.fill_diagonal(d, np.inf)
-    core = np.minimum(np.partition(d, k - 1, axis=1)[:, k - 1], angle)
-    best, source = np.full(n, np.inf), np.zeros(n, np.int64)
-    a, b, w = np.zeros(n - 1, np.int64), np.zeros(n - 1, np.int64), np.zeros(n - 1)
-    out = np.ones(n, bool)
-    x = 0
-    for step in range(n - 1):
-        out[x] = False
-        reach = np.minimum(np.maximum(np.maximum(d[x], core[x]), core), angle)
-        nearer = (reach < best) & out
-        best[nearer] = reach[nearer]
-        source[nearer] = x
-        best[x] = np.inf
-        x = int(best.argmin())
-        a[step], b[step], w[step] = source[x], x, best[x]
+    s = cosines(v, v)
+    lowest = float(s.min())
+    np.fill_diagonal(s, -2)
+    k = max(1, min(min_samples - 1, n - 1))
+    s.partition(n - k, axis=1)
+    floor = math.cos(angle)
+    a, b, reach = dense_tree(v, np.maximum(s[:, n - k], floor), floor)
+    w = _lengths(reach, angle)
     order = np.argsort(w, kind="stable")
-    return a[order], b[order], w[order], widest
+    return a[order], b[order], w[order], lowest
 
 
 #: Stands for no cluster in arrays of ``part``.

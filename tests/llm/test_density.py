@@ -296,3 +296,30 @@ def test_vectors_of_each_length_are_compared(spark):
     want = brute_sets(np.arange(len(short)), short) | brute_sets(np.arange(len(long)) + 5_000, long)
     for exact in (D.EXACT, 3):
         assert {tuple(r) for r in D.similar_sets(graph, D.hierarchy(graph, exact=exact)).collect()} == want
+
+
+@pytest.mark.parametrize("part", [D.EXACT, 16])
+def test_size_of_a_tree_plays_no_part(spark, monkeypatch, part):
+    """Trees cut in parts, bubbles, copies and chains among them, give what trees of one task give, to the last row."""
+    rng = np.random.default_rng(17)
+    x = np.concatenate([cloud(17, sets=(2, 3, 90, 60), singles=20), cloud(18, sets=(50, 45), singles=0, spread=0.3)])
+    x = np.concatenate([x, x[rng.integers(0, len(x), 60)], np.repeat(x[:2], 7, axis=0)])
+    a, b = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+    t = np.deg2rad(np.arange(0, 180, 4) + rng.random(45))[:, None]
+    x = np.concatenate([x, np.cos(t) * a + np.sin(t) * b]).astype(np.float32)
+    ids = rng.permutation(len(x)) + 10
+    twice = [(int(ids[k]), [float(c) for c in x[k] + 0.02], "twice", 1) for k in range(0, 80, 8)]
+    graph = D.neighbour_graph(frame(spark, ids, x, twice), "id", "x")
+    assert graph.members.where("n > 1").count() > 5
+    monkeypatch.setattr(D, "PART", part, raising=False)
+    found = []
+    for exact in (D.EXACT, 1):
+        rows = D.hierarchy(graph, exact=exact)
+        clusters = D.clusters(graph, exact=exact)[1].collect()
+        found.append((
+            {(r.tree, r.node, r.id, r.part, r.strength and round(r.strength, 9), r.stability and round(r.stability, 6)) for r in rows.collect()},
+            {tuple(r) for r in D.similar_sets(graph, rows).collect()},
+            {(r.cluster, r["size"], round(r.stability, 6), tuple(r.exemplars)) for r in clusters},
+        ))
+    assert len(found[0][2]) > 8
+    assert all(one == other for one, other in zip(*found))
