@@ -522,11 +522,15 @@ def spanning_tree(graph: Graph, local_edges: int = LOCAL_EDGES) -> DataFrame:
     return materialize(out.join(graph.labels.withColumnsRenamed({"node": "a", "label": "tree"}), "a"))
 
 
-#: Records of a tree up to which one task has all their pairs; a larger tree is cut in parts, with the same result.
-EXACT = 2_500
-
-#: Different vectors of a larger tree that make a part, as long as the tree has no more than ``PARTS`` of them.
+#: Different vectors of a tree that make a part, as long as the tree has no more than ``PARTS`` of them.
 PART, PARTS = 32_768, 32
+#: Records of a tree up to which one task has all their pairs, as many as two parts hold; a larger tree is cut in parts,
+#: with the same result.
+EXACT = 2 * PART
+#: Records up to which trees of one size are spanned together.
+SMALL = 100
+#: Nearest points listed of each point, rows and columns of a block of cosines.
+LISTED, ROWS, COLUMNS = 8, 64, 4_096
 #: Pairs of vectors meant for one task.
 TASK_PAIRS = 16_000_000
 #: Error of a cosine in single precision, with room to spare.
@@ -618,43 +622,102 @@ def _pairs_of_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Tabl
 
 def _nearest(k: int):
     """Of each point the cosines of the ``k`` nearest other records in the other part (or the same), -2 where there
-    are fewer, and the lowest cosine. Rough cosines say which pairs may count, exact ones decide."""
+    are fewer, and the lowest cosine."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group, v, cut in _pairs_of_parts(batches):
             size, n = len(v), group["n"].to_numpy()
-            scale = 1 / np.maximum(np.linalg.norm(v, axis=1), 1e-12)
-            unit = (v * scale[:, None]).astype(np.float32)
             near, low = np.full((size, k), -2.0), 2.0
             for lo, hi, start, end in [(0, cut, cut, size), (cut, size, 0, cut)] if cut else [(0, size, 0, size)]:
-                for at in range(lo, hi, BLOCK // 4):
-                    s = unit[at : min(at + BLOCK // 4, hi)] @ unit[start:end].T
-                    least = float(s.min())
-                    if least < low + 2 * ROUGH:
-                        i, j = _places(s, s <= least + 2 * ROUGH)
-                        low = min(low, float(_cosines_of(v, scale, i + at, j + start).min()))
-                    if not cut:
-                        s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
-                    some = s[:, : BLOCK // 2]
-                    some = np.partition(some, max(0, some.shape[1] - k), axis=1)[:, max(0, some.shape[1] - k)]
-                    i, j = _places(s, s >= some[:, None] - np.float32(2 * ROUGH))
-                    i, j = i + at, j + start
-                    i, j = i[i != j], j[i != j]
-                    exact = _cosines_of(v, scale, i, j)
-                    order = np.lexsort((-exact, i))
-                    order = order[_rank(i[order]) < k]
-                    times = np.minimum(n[j[order]], k)
-                    i, exact = np.repeat(i[order], times), np.repeat(exact[order], times)
-                    slot = _rank(i)
-                    near[i[slot < k], slot[slot < k]] = exact[slot < k]
+                listed = nearest_points(v, (lo, hi), (start, end), 2 * k)
+                near[lo:hi] = _nearest_records(v, n, k, (lo, hi), (start, end), listed)
+                low = min(low, listed.low)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * k + 1, k, dtype=np.int32)), pa.array(near.ravel()))
             yield pa.RecordBatch.from_arrays([group["tree"].combine_chunks(), group["key"].combine_chunks(), lists, pa.array(np.full(size, low))], names=["tree", "key", "near", "low"])
 
     return run
 
 
-def _places(s: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.divmod(np.flatnonzero(hit.ravel()), s.shape[1])
+@dataclass(frozen=True)
+class Listed:
+    """Of each row its nearest columns and their cosines, the nearest first; ``bound``: what no cosine of another column
+    is above, -2 if there is none; ``low``: the lowest cosine of all."""
+
+    near: np.ndarray
+    cos: np.ndarray
+    bound: np.ndarray
+    low: float
+
+
+def nearest_points(v: np.ndarray, rows: tuple[int, int], columns: tuple[int, int], width: int) -> Listed:
+    """The ``width`` nearest of ``v[columns]`` to each of ``v[rows]``, ranges that are the same or apart.
+
+    Blocks of rough cosines are compared with the least one listed so far, so few are ever sorted.
+    """
+    (lo, hi), (start, end) = rows, columns
+    others = end - start - (lo == start)
+    width = min(width, others)
+    if not width:
+        return Listed(np.empty((hi - lo, 0), np.int64), np.empty((hi - lo, 0)), np.full(hi - lo, -2.0), 1.0)
+    scale = 1 / np.maximum(np.linalg.norm(v, axis=1), 1e-12)
+    unit = (v * scale[:, None]).astype(np.float32)
+    flipped = np.ascontiguousarray(unit[start:end].T)
+    near, last, low = np.empty((hi - lo, width), np.int64), np.empty(hi - lo), 2.0
+    for at in range(lo, hi, ROWS):
+        until = min(at + ROWS, hi)
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        begin, stop = start, min(end, start + max(256, 4 * width))
+        while begin < end:
+            s = unit[at:until] @ flipped[:, begin - start : stop - start]
+            if float(s.min()) < low + 2 * ROUGH:
+                low = min(low, float(cosines(v[at:until], v[begin:stop]).min()))
+            own = np.arange(max(at, begin), min(until, stop))
+            s[own - at, own - begin] = -3
+            if begin == start:
+                least = np.partition(s, s.shape[1] - width, axis=1)[:, s.shape[1] - width]
+            hit = np.flatnonzero(s >= least[:, None])
+            i, j = np.divmod(hit, stop - begin)
+            held.append((i, j + begin, s.ravel()[hit]))
+            begin, stop = stop, min(end, 2 * stop - start, stop + COLUMNS)
+            if begin == end or sum(len(x[0]) for x in held) > 2 * width * (until - at):
+                i, j, c = (np.concatenate(x) for x in zip(*held))
+                order = np.lexsort((-c, i))
+                order = order[_rank(i[order]) < width]
+                held = [(i[order], j[order], c[order])]
+                least = held[0][2].reshape(-1, width)[:, -1]
+        near[at - lo : until - lo], last[at - lo : until - lo] = held[0][1].reshape(-1, width), least
+    cos = _cosines_of(v, scale, np.repeat(np.arange(lo, hi), width), near.ravel()).reshape(near.shape)
+    order = np.argsort(-cos, axis=1, kind="stable")
+    bound = last + ROUGH if width < others else np.full(hi - lo, -2.0)
+    return Listed(np.take_along_axis(near, order, 1), np.take_along_axis(cos, order, 1), bound, low)
+
+
+def _nearest_records(v: np.ndarray, n: np.ndarray, k: int, rows: tuple[int, int], columns: tuple[int, int], listed: Listed) -> np.ndarray:
+    """Cosines of the ``k`` nearest records to each row, of which a column is ``n``; rows whose list leaves them open are
+    compared with all columns."""
+
+    def records(near: np.ndarray, cos: np.ndarray) -> np.ndarray:
+        reached = np.cumsum(n[near], axis=1)
+        out = np.full((len(near), k), -2.0)
+        for t in range(k if near.shape[1] else 0):
+            at = (reached > t).argmax(1)
+            out[:, t] = np.where(reached[:, -1] > t, cos[np.arange(len(near)), at], -2)
+        return out
+
+    (lo, _), (start, end) = rows, columns
+    out = records(listed.near, listed.cos)
+    left = np.flatnonzero(out[:, -1] < listed.bound)
+    width = min(k, end - start)
+    step = max(1, 2**20 // (end - start))
+    for at in range(0, len(left), step):
+        some = left[at : at + step]
+        s = cosines(v[lo + some], v[start:end])
+        if lo == start:
+            s[np.arange(len(some)), some] = -2
+        j = np.argpartition(s, end - start - width, axis=1)[:, end - start - width :]
+        j = np.take_along_axis(j, np.argsort(-np.take_along_axis(s, j, 1), axis=1), 1)
+        out[some] = records(j + start, np.take_along_axis(s, j, 1))
+    return out
 
 
 def _rank(i: np.ndarray) -> np.ndarray:
@@ -713,19 +776,30 @@ def clusters(graph: Graph, min_cluster_size: int = 2, exemplars: int = 3, exact:
 def _condense_records(angle: float, least: int, min_samples: int = MIN_SAMPLES):
     limit = math.cos(angle) - 2e-8
 
+    def spanned(vecs: list[bytes], starts: list[int], n: int) -> Iterator[tuple]:
+        many = max(1, 2**19 // n**2) if n <= SMALL else 1
+        for at in range(0, len(starts), many):
+            some = starts[at : at + many]
+            v = np.frombuffer(b"".join(x for lo in some for x in vecs[lo : lo + n]), "<i2").reshape(len(some), n, -1).astype(np.float64)
+            yield from zip(*small_trees(v, angle, min_samples)) if n <= SMALL else [record_tree(v[0], angle, min_samples)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _rows_by(batches, "tree"):
             out = []
-            for group in _groups(rows, "tree"):
-                tree, node, ids = (group[c].to_numpy() for c in ("tree", "node", "id"))
-                own, first = np.unique(ids, return_index=True)
-                if len(own) < least:
-                    continue
-                v = np.frombuffer(b"".join(group["vec"].take(pa.array(first)).to_pylist()), "<i2").reshape(len(own), -1).astype(np.float64)
-                a, b, w, lowest = record_tree(v, angle, min_samples)
-                lone, none = np.ones(len(own), np.int64), np.zeros(len(own))
-                part, stability, leave, _ = fold(own, lone, none, none, own[a], own[b], w, angle, least, close=True)[0]
-                out.append((tree[first], node[first], own, part, leave, stability, np.full(len(own), lowest >= limit), np.full(len(own), own[0])))
+            first = _starts(rows, "tree", "id")
+            tree, node, ids, vecs = (rows[c].take(pa.array(first)) for c in ("tree", "node", "id", "vec"))
+            tree, node, ids, vecs = tree.to_numpy(), node.to_numpy(), ids.to_numpy(), vecs.to_pylist()
+            cuts = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1], True])
+            sized: dict[tuple[int, int], list[int]] = {}
+            for lo, n in zip(cuts[:-1].tolist(), np.diff(cuts).tolist()):
+                if n >= least:
+                    sized.setdefault((n, len(vecs[lo])), []).append(lo)
+            for (n, _), starts in sized.items():
+                lone, none = np.ones(n, np.int64), np.zeros(n)
+                for lo, (a, b, w, lowest) in zip(starts, spanned(vecs, starts, n)):
+                    own = ids[lo : lo + n]
+                    part, stability, leave, _ = fold(own, lone, none, none, own[a], own[b], w, angle, least, close=True)[0]
+                    out.append((tree[lo : lo + n], node[lo : lo + n], own, part, leave, stability, np.full(n, lowest >= limit), np.full(n, own[0])))
             if out:
                 cols = [np.concatenate(c) for c in zip(*out)]
                 lost = cols[3] == NO_PART
@@ -784,19 +858,133 @@ def record_tree(v: np.ndarray, angle: float, min_samples: int) -> tuple[np.ndarr
     cosine of the widest pair.
 
     A core distance is the angle to the (``min_samples`` - 1)-th other record, of a smaller tree to the last one, and
-    ``angle`` where that is farther.
+    ``angle`` where that is farther. Copies of a vector are compared once and join at their core distance.
     """
-    n = len(v)
-    s = cosines(v, v)
-    lowest = float(s.min())
-    np.fill_diagonal(s, -2)
-    k = max(1, min(min_samples - 1, n - 1))
-    s.partition(n - k, axis=1)
-    floor = math.cos(angle)
-    a, b, reach = dense_tree(v, np.maximum(s[:, n - k], floor), floor)
-    w = _lengths(reach, angle)
+    _, first, point, n = np.unique(v.astype("<i2").view(f"V{2 * v.shape[1]}").ravel(), return_index=True, return_inverse=True, return_counts=True)
+    k, floor = max(1, min(min_samples - 1, len(v) - 1)), math.cos(angle)
+    x, m = v[first], len(first)
+    listed = nearest_points(x, (0, m), (0, m), max(LISTED, 2 * k))
+    near = _nearest_records(x, n, k, (0, m), (0, m), listed)
+    core = np.maximum(np.where(n > k, 1.0, near[np.arange(m), np.maximum(k - n, 0)]), floor)
+    a, b, s = _tree_of_lists(x, core, floor, listed)
+    copy = np.flatnonzero(first[point] != np.arange(len(v)))
+    a, b, s = np.r_[first[a], first[point[copy]]], np.r_[first[b], copy], np.r_[s, core[point[copy]]]
+    w = _lengths(s, angle)
     order = np.argsort(w, kind="stable")
-    return a[order], b[order], w[order], lowest
+    return a[order], b[order], w[order], listed.low
+
+
+def _tree_of_lists(v: np.ndarray, core: np.ndarray, floor: float, listed: Listed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``dense_tree`` from the nearest points of each.
+
+    The links listed are spanned first. One that neither end lists reaches no more than the bounds of both ends, so it
+    can only count where an end joins the main branch of that tree further down than its bound; the rows of such ends
+    are compared with all others, and so are trees that lists leave apart. If these are many, all pairs are taken.
+    """
+    m, width = listed.near.shape
+    step = max(1, 2**20 // m)
+
+    def reach(rows: np.ndarray) -> np.ndarray:
+        s = cosines(v[rows], v)
+        np.minimum(s, core, out=s)
+        np.minimum(s, core[rows][:, None], out=s)
+        return np.maximum(s, floor, out=s)
+
+    def spanned(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, s = (np.concatenate(x) for x in zip(*parts))
+        a, b, w = _forest(i, j, -s, m)
+        order = np.argsort(w, kind="stable")
+        return a[order], b[order], -w[order]
+
+    i, j = np.repeat(np.arange(m), width), listed.near.ravel()
+    a, b, s = spanned([(i, j, np.maximum(np.minimum(listed.cos.ravel(), np.minimum(core[i], core[j])), floor))])
+    while len(a) < m - 1:
+        tree = union(a, b, m)
+        apart = np.flatnonzero(tree != np.bincount(tree).argmax())
+        if 8 * len(apart) > m:
+            return dense_tree(v, core, floor)
+        links = [(a, b, s)]
+        for at in range(0, len(apart), step):
+            rows = apart[at : at + step]
+            c = reach(rows)
+            c[tree[rows][:, None] == tree] = -2
+            best = c.argmax(1)
+            links.append((rows, best, c[np.arange(len(rows)), best]))
+        a, b, s = spanned(links)
+    if width >= m - 1:
+        return a, b, s
+    order, gap, main = _leaves(a, b, s, m)
+    place = np.empty(m, np.int64)
+    place[order] = np.arange(m)
+    joins = _joined(gap, place[[main]])[0][place]
+    open_ends = np.flatnonzero(joins < np.maximum(np.minimum(listed.bound, core), floor))
+    if 8 * len(open_ends) > m:
+        return dense_tree(v, core, floor)
+    links = [(a, b, s)]
+    for at in range(0, len(open_ends), step):
+        rows = open_ends[at : at + step]
+        c = reach(rows)
+        c[np.arange(len(rows)), rows] = -2
+        i, j = np.nonzero(c > _joined(gap, place[rows])[:, place])
+        links.append((rows[i], j, c[i, j]))
+    return spanned(links) if sum(len(x[0]) for x in links) > len(a) else (a, b, s)
+
+
+def _leaves(a: np.ndarray, b: np.ndarray, s: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Points of a tree, given by falling ``s``, in an order in which each part that holds together at some value stands
+    in one piece; the value that joins a place to the one before; and a point of the larger part at every join."""
+    top, size, head, last, after, gap = list(range(m)), [1] * m, list(range(m)), list(range(m)), [-1] * m, [-2.0] * m
+    x = 0
+    for x, y, value in zip(a.tolist(), b.tolist(), s.tolist()):
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        while top[y] != y:
+            top[y] = top[top[y]]
+            y = top[y]
+        if size[x] < size[y]:
+            x, y = y, x
+        top[y] = x
+        size[x] += size[y]
+        after[last[x]], gap[head[y]], last[x] = head[y], value, last[y]
+    order = [head[x]]
+    while after[order[-1]] >= 0:
+        order.append(after[order[-1]])
+    return np.array(order), np.array(gap)[order], x
+
+
+def _joined(gap: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The values at which each of the ``places`` and every place are joined: the least gap between them."""
+    p, q = places[:, None], np.arange(len(gap))
+    after = np.minimum.accumulate(np.where(q > p, gap, 2.0), axis=1)
+    before = np.minimum.accumulate(np.where(q < p, np.r_[gap[1:], 2.0], 2.0)[:, ::-1], axis=1)[:, ::-1]
+    return np.minimum(after, before)
+
+
+def small_trees(v: np.ndarray, angle: float, min_samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``record_tree`` of many trees of one size, ``v`` by tree, record and coordinate, from all of their pairs."""
+    many, n, _ = v.shape
+    floor, k, each, own = math.cos(angle), max(1, min(min_samples - 1, n - 1)), np.arange(many), np.arange(n)
+    scale = 1 / np.maximum(np.linalg.norm(v, axis=2), 1e-12)
+    s = v @ v.transpose(0, 2, 1)
+    s *= scale[:, :, None] * scale[:, None, :]
+    lowest = s.min((1, 2))
+    s[:, own, own] = -2
+    core = np.partition(s, n - k, axis=2)[:, :, n - k]
+    s = np.maximum(np.minimum(s, np.minimum(core[:, :, None], core[:, None, :])), floor)
+    best, source, left = s[:, 0].copy(), np.zeros((many, n), np.int64), np.ones((many, n), bool)
+    a, b, reach = np.empty((many, n - 1), np.int64), np.empty((many, n - 1), np.int64), np.empty((many, n - 1))
+    best[:, 0], left[:, 0] = -2, False
+    for step in range(n - 1):
+        at = best.argmax(1)
+        a[:, step], b[:, step], reach[:, step] = source[each, at], at, best[each, at]
+        best[each, at], left[each, at] = -2, False
+        nearer = left & (s[each, at] > best)
+        best = np.where(nearer, s[each, at], best)
+        source = np.where(nearer, at[:, None], source)
+    w = _lengths(reach, angle)
+    order = np.argsort(w, axis=1, kind="stable")
+    return (*(np.take_along_axis(x, order, 1) for x in (a, b, w)), lowest)
 
 
 #: Stands for no cluster in arrays of ``part``.

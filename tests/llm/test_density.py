@@ -323,3 +323,60 @@ def test_size_of_a_tree_plays_no_part(spark, monkeypatch, part):
         ))
     assert len(found[0][2]) > 8
     assert all(one == other for one, other in zip(*found))
+
+
+def test_a_tree_that_one_task_can_take_is_shuffled_once(spark, monkeypatch):
+    """A set of 2,600 records needs no pairs of parts, which lay out and shuffle its vectors several times."""
+    monkeypatch.setattr(D, "_hierarchy_in_parts", lambda *a: pytest.fail("cut in parts"))
+    x = cloud(19, sets=(2_600, 3), singles=5)
+    graph = D.neighbour_graph(frame(spark, np.arange(len(x)), x), "id", "x")
+    assert {tuple(r) for r in D.similar_sets(graph, D.hierarchy(graph)).collect()} == brute_sets(np.arange(len(x)), x)
+
+
+def steps(x):
+    return np.rint(x / np.linalg.norm(x, axis=1, keepdims=True) * 32767)
+
+
+def trees():
+    rng = np.random.default_rng(20)
+    unit = lambda n, d=32: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.standard_normal((n, d)))
+    c, t = unit(1), np.sort(rng.random(500))[:, None]
+    return {
+        "copies": np.repeat(c + 0.1 * unit(60), rng.integers(1, 12, 60), axis=0),
+        "one vector": np.repeat(c, 150, axis=0),
+        "near equal": c + 0.002 * unit(400),
+        "tight parts": np.repeat(c + 0.15 * unit(25), 20, axis=0) + 0.02 * unit(500),
+        "two parts": np.repeat(c + 0.2 * unit(2), 250, axis=0) + 0.1 * unit(500),
+        "a small dense part": np.concatenate([c + 0.25 * unit(1) + 0.1 * unit(900), c + 0.25 * unit(1) + 0.02 * unit(40)]),
+        "chain": np.cos(t) * np.eye(32)[0] + np.sin(t) * np.eye(32)[1],
+        "peaked": c + 0.2 * unit(1_200) * rng.random((1_200, 1)) ** 2,
+        "few coordinates": unit(400, 3),
+    }
+
+
+@pytest.mark.parametrize("name", trees())
+def test_trees_from_lists_are_those_of_all_pairs(name):
+    v = steps(trees()[name])
+    n, angle = len(v), np.arccos(0.95)
+    s = D.cosines(v, v)
+    others = np.sort(np.where(np.eye(n, dtype=bool), -2, s), axis=1)
+    a, b, reach = D.dense_tree(v, others[:, n - 4], np.cos(angle))
+    w = D._lengths(reach, angle)
+    order = np.argsort(w, kind="stable")
+    got = D.record_tree(v, angle, 5)
+    assert np.array_equal(np.maximum(got[2], 1e-3), np.maximum(w[order], 1e-3)) and got[3] == pytest.approx(s.min(), abs=1e-15)
+    fold = lambda a, b, w: D.fold(np.arange(n), np.ones(n, np.int64), np.zeros(n), np.zeros(n), a, b, w, angle, 2, True)[0]
+    for one, other in zip(fold(*got[:3]), fold(a[order], b[order], w[order])):
+        assert np.allclose(one, other, rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("n", [2, 3, 5, 30])
+def test_trees_of_one_size_are_spanned_together(n):
+    rng = np.random.default_rng(n)
+    v = np.stack([steps(rng.standard_normal((1, 32)) + 0.2 * rng.standard_normal((n, 32))) for _ in range(7)])
+    v[3, 1:3] = v[3, 0]
+    a, b, w, lowest = D.small_trees(v, 0.3, 5)
+    for k, x in enumerate(v):
+        one = D.record_tree(x, 0.3, 5)
+        assert np.array_equal(np.maximum(one[2], 1e-3), np.maximum(w[k], 1e-3)) and one[3] == pytest.approx(lowest[k], abs=1e-15)
+        assert sorted({*a[k].tolist(), *b[k].tolist()}) == list(range(n))
